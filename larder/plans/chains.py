@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import cleaning, consumption, energy, household, intake, quantiles
 from larder.operators.consumption import NEW_MODULE, OLD_MODULE, QUANTITIES
-from larder.operators.joins import na_join
+from larder.operators.joins import na_join, union_by_name
 from larder.sources.staging import stage
 
 
@@ -42,23 +42,19 @@ def food_consumption(new: Module, old: Module, recall_days: int = 7) -> DataFram
 
 
 class PersonSets(NamedTuple):
-    """The overlapping sets of household members that need their own energy rule."""
+    """Members who ate at home, and the overlapping sets among them that need their own energy rule."""
 
     eaters: DataFrame
     under_two: DataFrame
     lactating: DataFrame
     pregnant: DataFrame
-    others: DataFrame
 
 
 def person_sets(roster: DataFrame, child_ages: DataFrame, pregnancies: DataFrame) -> PersonSets:
     """Split the roster; the eaters are stored because every set starts from them."""
     eating = stage(energy.eaters(roster), "eaters")
     infants = energy.under_two(eating, child_ages)
-    mothers = energy.lactating(eating, infants)
-    expecting = energy.pregnant(eating, pregnancies)
-    rest = energy.demographic_others(eating, infants, mothers, expecting)
-    return PersonSets(eating, infants, mothers, expecting, rest)
+    return PersonSets(eating, infants, energy.lactating(eating, infants), energy.pregnant(eating, pregnancies))
 
 
 def household_afe(
@@ -68,16 +64,20 @@ def household_afe(
     pregnancies: DataFrame,
     dedupe: str | None = None,
 ) -> DataFrame:
-    """Adult-female equivalents per household."""
-    sets = person_sets(roster, child_ages, pregnancies)
-    tee = stage(energy.tee_reference(anthropometry, sets.eaters), "energy")
-    return energy.hh_afe(
-        energy.afe_under_two(sets.under_two),
-        energy.afe_lactating(sets.lactating, tee),
-        energy.afe_pregnant(sets.pregnant, tee),
-        energy.afe_other(sets.others, tee),
-        dedupe=dedupe,
+    """Adult-female equivalents per household.
+
+    The members with a rule of their own are stored with their equivalents; everybody else is found against that table.
+    """
+    eating, infants, mothers, expecting = person_sets(roster, child_ages, pregnancies)
+    tee = stage(energy.tee_reference(anthropometry, eating), "energy")
+    special = stage(
+        union_by_name(
+            energy.afe_under_two(infants), energy.afe_lactating(mothers, tee), energy.afe_pregnant(expecting, tee)
+        ),
+        "special-members",
     )
+    rest = energy.afe_other(energy.demographic_others(eating, special), tee)
+    return energy.hh_afe(special, rest, dedupe=dedupe)
 
 
 def expenditure_quintiles(expenditure: DataFrame, residences: DataFrame) -> DataFrame:

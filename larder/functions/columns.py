@@ -32,9 +32,9 @@ def column_range(df: DataFrame, first: str, last: str) -> list[str]:
     return names[names.index(first) : names.index(last) + 1]
 
 
-def across(df: DataFrame, names: Iterable[str], fn: Callable[[Column], Column], rename: str = "{col}") -> DataFrame:
-    """Apply ``fn`` to many columns in one projection; ``rename`` gives the new names."""
-    return df.withColumns({rename.format(col=c): fn(F.col(c)) for c in names})
+def across(df: DataFrame, names: Iterable[str], fn: Callable[[str], Column], rename: str = "{col}") -> DataFrame:
+    """Apply ``fn`` to many columns, given by name, in one projection; ``rename`` gives the new names."""
+    return df.withColumns({rename.format(col=c): fn(c) for c in names})
 
 
 def cast_numbers(df: DataFrame, keep: Iterable[str]) -> DataFrame:
@@ -42,11 +42,14 @@ def cast_numbers(df: DataFrame, keep: Iterable[str]) -> DataFrame:
     return across(df, others(df, keep), to_number)
 
 
-def recode(c: Column, mapping: dict, default: Column | None = None) -> Column:
-    """Replace listed values; anything else becomes ``default`` (NULL when not given)."""
-    pairs = iter(mapping.items())
-    old, new = next(pairs)
-    out = F.when(c == F.lit(old), F.lit(new))
-    for old, new in pairs:
-        out = out.when(c == F.lit(old), F.lit(new))
-    return out if default is None else out.otherwise(default)
+def _literal(value) -> str:
+    if not isinstance(value, str):
+        return str(value)
+    text = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def recode(x: str, mapping: dict, default: str | None = None) -> Column:
+    """Replace listed values; anything else becomes the expression ``default`` (NULL when not given)."""
+    cases = " ".join(f"WHEN {_literal(old)} THEN {_literal(new)}" for old, new in mapping.items())
+    return F.expr(f"CASE {x} {cases} ELSE {default or 'NULL'} END")

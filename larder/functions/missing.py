@@ -2,6 +2,9 @@
 
 NULL is the only missing value in this engine. Floating-point NaN is turned into NULL wherever a source or an arithmetic
 step can produce it, because Spark orders NaN above every number and lets it poison sums. Infinities are kept.
+
+Arguments are column names or SQL expressions. A rule is one parsed expression rather than a tree of column calls, which
+keeps plans over many nutrient columns quick to build.
 """
 
 from __future__ import annotations
@@ -9,63 +12,55 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INF = float("inf")
-
-
-def as_column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
 
-def nan_to_null(c: Column | str) -> Column:
+def nan_to_null(x: str) -> Column:
     """The value, or NULL where it is NaN."""
-    c = as_column(c)
-    return F.when(~F.isnan(c), c)
+    return F.expr(f"nanvl({x}, CAST(NULL AS DOUBLE))")
 
 
-def is_missing(c: Column | str) -> Column:
+def is_missing(x: str) -> Column:
     """True for NULL and for NaN."""
-    c = as_column(c)
-    return c.isNull() | F.isnan(c)
+    return F.expr(f"({x}) IS NULL OR isnan({x})")
 
 
-def if_else(condition: Column, yes: Column, no: Column) -> Column:
+def if_else(condition: str, yes: str, no: str) -> Column:
     """Two-branch conditional whose result is NULL when the condition is NULL (unlike ``when/otherwise``)."""
-    return F.when(condition, yes).when(~condition, no)
+    return F.expr(f"CASE WHEN {condition} THEN {yes} WHEN NOT ({condition}) THEN {no} END")
 
 
-def safe_div(numerator: Column | str, denominator: Column | str) -> Column:
+def safe_div(numerator: str, denominator: str) -> Column:
     """Division with IEEE results for a zero divisor: signed infinity, and NULL for 0/0."""
-    n = as_column(numerator).cast("double")
-    d = as_column(denominator).cast("double")
-    signed_infinity = F.when(n > 0, F.lit(INF)).when(n < 0, F.lit(-INF))
-    return F.when(d == 0, signed_infinity).otherwise(nan_to_null(n / d))
+    n, d = f"double({numerator})", f"double({denominator})"
+    return F.expr(
+        f"CASE WHEN {d} = 0 THEN CASE WHEN {n} > 0 THEN double('Infinity') WHEN {n} < 0 THEN double('-Infinity') END"
+        f" ELSE nanvl({n} / {d}, CAST(NULL AS DOUBLE)) END"
+    )
 
 
-def times(a: Column | str, b: Column | str) -> Column:
+def times(a: str, b: str) -> Column:
     """Product in double precision; infinity times zero is NULL."""
-    return nan_to_null(as_column(a).cast("double") * as_column(b).cast("double"))
+    return F.expr(f"nanvl(double({a}) * double({b}), CAST(NULL AS DOUBLE))")
 
 
-def log10_ieee(c: Column | str) -> Column:
+def log10_ieee(x: str) -> Column:
     """Base-10 logarithm with -Infinity at zero and NULL below it."""
-    c = as_column(c).cast("double")
-    return F.when(c == 0, F.lit(-INF)).when(c > 0, F.log10(c))
+    return F.expr(f"CASE WHEN {x} = 0 THEN double('-Infinity') WHEN {x} > 0 THEN log10({x}) END")
 
 
-def sum_or_zero(c: Column | str) -> Column:
+def sum_or_zero(x: str) -> Column:
     """Sum that skips missing values and is 0 when nothing is left."""
-    return F.coalesce(F.sum(as_column(c)), F.lit(0.0))
+    return F.expr(f"coalesce(sum({x}), 0.0D)")
 
 
-def count_where(condition: Column) -> Column:
+def count_where(condition: str) -> Column:
     """Number of rows where the condition holds."""
-    return F.coalesce(F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint")
+    return F.expr(f"count_if({condition})")
 
 
-def to_number(c: Column | str) -> Column:
+def to_number(x: str) -> Column:
     """Text to double; unparseable text and NaN become NULL."""
-    return nan_to_null(as_column(c).try_cast("double"))
+    return F.expr(f"nanvl(try_cast({x} AS DOUBLE), CAST(NULL AS DOUBLE))")
 
 
-def round_half_even(c: Column | str, digits: int = 1) -> Column:
-    return F.bround(as_column(c), digits)
+def round_half_even(x: str, digits: int = 1) -> Column:
+    return F.expr(f"bround({x}, {digits})")

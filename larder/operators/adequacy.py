@@ -31,8 +31,7 @@ def adequacy_targets(
     rows = intake if survey_id is None else intake.withColumn("survey_id", F.lit(survey_id))
 
     def ratio(short: str) -> Column:
-        ai, ref = F.col(f"{short}_ai"), F.col(f"{short}_ref")
-        return if_else(ai <= ref, ai / ref, F.lit(1.0))
+        return if_else(f"{short}_ai <= {short}_ref", f"{short}_ai / {short}_ref", "1.0D")
 
     return (
         rows.select(
@@ -85,7 +84,7 @@ def mar_export(
     )
     shorts = list(nutrients.values())
     ratios = column_range(rows, f"{shorts[0]}_nar", f"{shorts[-1]}_nar")
-    capped = across(rows, ratios, lambda c: if_else(c > 1, F.lit(1.0), c))
+    capped = across(rows, ratios, lambda c: if_else(f"{c} > 1", "1.0D", c))
     return capped.select(
         F.lit(iso3).alias("iso3"),
         F.lit(survey).alias("survey"),

@@ -21,7 +21,7 @@ def log_cutpoints(df: DataFrame, key: str, x: str, k: float = 3) -> DataFrame:
     """Per group the mean plus ``k`` standard deviations of log10; NULL where either is undefined."""
     log = log10_ieee(x)
     stats = df.groupBy(key).agg(F.avg(log).alias("mean_log"), F.stddev_samp(log).alias("sd_log"))
-    return stats.select(key, nan_to_null(F.col("mean_log") + k * F.col("sd_log")).alias("upper_cut"))
+    return stats.select(key, nan_to_null(f"mean_log + {k} * sd_log").alias("upper_cut"))
 
 
 def outlier_log_sd(df: DataFrame, key: str, x: str, k: float = 3) -> DataFrame:

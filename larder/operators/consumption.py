@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larder.functions.columns import first_columns, recode
 from larder.functions.reference import FOOD_GROUP_CODES
 from larder.operators.joins import na_join, union_by_name
+from larder.sources.staging import stage
 
 # Raw column names of the two consumption modules.
 NEW_MODULE = {
@@ -56,13 +57,12 @@ def quantity_resolution(cons: DataFrame, unit_conv: DataFrame, metric_units=(1,
     estimated = unit_conv.select("item_code", F.col("unit").alias("est_metric_unit"), F.col("conv_fac").alias("est_fac"))
     rows = na_join(cons, weighed, ["item_code", "weighed_unit"])
     rows = na_join(rows, estimated, ["item_code", "est_metric_unit"])
-    reported = F.when(
-        F.col("unit").isin(*metric_units), F.col("quantity") * F.col("conv_fac") * F.col("edible_portion")
-    )
-    grams = F.coalesce(
-        reported,
-        F.col("weighed_quantity") * F.col("weighed_fac") * F.col("edible_portion"),
-        F.col("est_metric_quantity") * F.col("est_fac") * F.col("edible_portion"),
+    units = ", ".join(str(u) for u in metric_units)
+    grams = F.expr(
+        f"""coalesce(
+            CASE WHEN unit IN ({units}) THEN quantity * conv_fac * edible_portion END,
+            weighed_quantity * weighed_fac * edible_portion,
+            est_metric_quantity * est_fac * edible_portion)"""
     )
     return rows.select("hhid", "item_code", "itemname", grams.alias("quantity_g")).withColumn(
         "quantity_100g", F.col("quantity_g") / 100
@@ -77,7 +77,7 @@ def exclude_incomplete_groups(df: DataFrame, group: str = "hhid", required: str
 
 def quantity_old(cons: DataFrame) -> DataFrame:
     """Grams of the old module: one conversion factor for every unit."""
-    grams = F.col("quantity") * F.col("conv_fac") * F.col("edible_portion")
+    grams = F.expr("quantity * conv_fac * edible_portion")
     return cons.select("hhid", "item_code", "itemname", grams.alias("quantity_g")).withColumn(
         "quantity_100g", F.col("quantity_g") / 100
     )
@@ -90,11 +90,11 @@ def combine_modules(*modules: DataFrame, recall_days: int = 7) -> DataFrame:
 
 def food_group_recode(df: DataFrame, labels: dict[str, str] = FOOD_GROUP_CODES) -> DataFrame:
     """Survey labels of food groups to harmonised codes; unknown labels stay."""
-    return df.withColumn("food_group", recode(F.col("food_group"), labels, default=F.col("food_group")))
+    return df.withColumn("food_group", recode("food_group", labels, default="food_group"))
 
 
 def attach_food_group(cons: DataFrame, groups: list[DataFrame], labels: dict[str, str] = FOOD_GROUP_CODES) -> DataFrame:
     """Food group of every row; an item that is listed in two groups yields a row for each."""
-    item_groups = reduce(DataFrame.unionByName, groups).distinct()
-    rows = na_join(cons, food_group_recode(item_groups, labels), "item_code")
+    item_groups = stage(food_group_recode(reduce(DataFrame.unionByName, groups).distinct(), labels), "item-groups")
+    rows = na_join(cons, item_groups, "item_code")
     return rows.select("hhid", "item_code", "quantity_100g", "food_group", "quantity_g")

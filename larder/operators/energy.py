@@ -36,8 +36,8 @@ def lactating(eating: DataFrame, infants: DataFrame, max_age: int = ref.OLDEST_L
         .filter((F.col("age_months") <= 23) & F.col("moid").isNotNull())
     )
     mothers = children.groupBy("hhid", F.col("moid").alias("indid")).agg(
-        count_where(F.col("age_months") <= 6).alias("under6_months"),
-        count_where(F.col("age_months") > 6).alias("over6_months"),
+        count_where("age_months <= 6").alias("under6_months"),
+        count_where("age_months > 6").alias("over6_months"),
     )
     return na_join(mothers, eating.select(*PERSON, *PROFILE), PERSON).filter(F.col("age") <= max_age)
 
@@ -53,60 +53,48 @@ def demographic_others(eating: DataFrame, *sets: DataFrame) -> DataFrame:
     return without_keys(eating, sets, PERSON).select(*PERSON, "age", "sex")
 
 
-def under_two_kcal(months: Column) -> Column:
+def under_two_kcal(months: str) -> Column:
     """Energy needed from food by age in months; ages between two listed spans are NULL."""
-    kcal = None
+    cases = []
     for first, last, value in ref.UNDER_TWO_KCAL:
-        if first is None:
-            span = months <= last
-        elif last is None:
-            span = months >= first
-        else:
-            span = months.between(first, last)
-        kcal = F.when(span, F.lit(value)) if kcal is None else kcal.when(span, F.lit(value))
-    return kcal
+        limits = [f"{months} >= {first}"] * (first is not None) + [f"{months} <= {last}"] * (last is not None)
+        cases.append(f"WHEN {' AND '.join(limits)} THEN {value}D")
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
 def afe_under_two(infants: DataFrame, kcal_per_afe: float = ref.KCAL_PER_AFE) -> DataFrame:
-    return infants.select(*PERSON, (under_two_kcal(F.col("age_months")) / kcal_per_afe).alias("afe"))
+    return infants.select(*PERSON, (under_two_kcal("age_months") / kcal_per_afe).alias("afe"))
 
 
 def mean_weights(
     anthropometry: DataFrame, eating: DataFrame, pal: float = ref.ACTIVITY_LEVEL, adult_kg: dict = ref.ADULT_WEIGHT_KG
 ) -> DataFrame:
     """Mean weight per sex and age from two years on, assumed weights from 15 on, and the activity level of adults."""
-    sex, age = F.col("sex"), F.col("age")
     weighed = na_join(anthropometry.select(*PERSON, "weight"), eating.select(*PERSON, *PROFILE), PERSON)
-    kg = F.col("meanw")
-    for code, assumed in reversed(adult_kg.items()):
-        kg = if_else((age >= 15) & (sex == code), F.lit(assumed), kg)
-    return (
-        weighed.groupBy(*PROFILE)
-        .agg(F.avg("weight").alias("meanw"))
-        .filter(age >= 2)
-        .withColumn("meanw", kg)
-        .withColumn("PAL", if_else(age > 18, F.lit(pal), F.lit(None).cast("double")))
-    )
+    rows = weighed.groupBy(*PROFILE).agg(F.avg("weight").alias("meanw")).filter(F.col("age") >= 2)
+    for code, assumed in adult_kg.items():
+        rows = rows.withColumn("meanw", if_else(f"age >= 15 AND sex = {code}", f"{assumed}D", "meanw"))
+    return rows.withColumn("PAL", if_else("age > 18", f"{pal}D", "NULL"))
 
 
 def child_tee(weights: DataFrame) -> DataFrame:
     """Daily kcal up to 18 years from the quadratic weight equations."""
-    kg, mj = F.col("meanw"), F.lit(None).cast("double")
-    for code, (constant, linear, square) in reversed(ref.CHILD_ENERGY.items()):
-        equation = constant + linear * kg + square * kg * kg
-        mj = if_else((F.col("sex") == code) & (F.col("age") <= 18), equation, mj)
-    return weights.withColumn("TEE", mj * ref.KCAL_PER_MJ)
+    mj = "CAST(NULL AS DOUBLE)"
+    for code, (constant, linear, square) in ref.CHILD_ENERGY.items():
+        equation = f"{constant}D + {linear}D * meanw + ({square}D) * meanw * meanw"
+        child = f"sex = {code} AND age <= 18"
+        mj = f"CASE WHEN {child} THEN {equation} WHEN NOT ({child}) THEN {mj} END"
+    return weights.withColumn("TEE", F.expr(mj) * ref.KCAL_PER_MJ)
 
 
 def adult_tee(weights: DataFrame) -> DataFrame:
     """Basal metabolic rate by sex and age span; kcal past 18 years is that times the activity level."""
-    sex, age, kg = F.col("sex"), F.col("age"), F.col("meanw")
-    spans = []
+    cases = []
     for code, above, up_to, slope, constant in ref.ADULT_BMR:
-        span = (sex == code) & (age > above)
-        spans.append(F.when(span if up_to is None else span & (age <= up_to), slope * kg + constant))
-    return weights.withColumn("BMR", F.coalesce(*spans)).withColumn(
-        "TEE", if_else(age > 18, F.col("BMR") * F.col("PAL"), F.col("TEE"))
+        span = f"sex = {code} AND age > {above}" + (f" AND age <= {up_to}" if up_to is not None else "")
+        cases.append(f"WHEN {span} THEN {slope}D * meanw + {constant}D")
+    return weights.withColumn("BMR", F.expr(f"CASE {' '.join(cases)} END")).withColumn(
+        "TEE", if_else("age > 18", "BMR * PAL", "TEE")
     )
 
 

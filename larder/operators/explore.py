@@ -27,14 +27,14 @@ def item_distribution(
 ) -> DataFrame:
     """Mean, standard deviation, median and row count of the ``k`` most frequent items."""
     top = stage(top_items(cons, items, k), "top-items")
-    rows = na_join(cons.select("item_code", nan_to_null(quantity).alias("x")), top, "item_code", "inner")
+    rows = na_join(cons.select("item_code", nan_to_null(f"double({quantity})").alias("x")), top, "item_code", "inner")
     pair = ["item_code", "itemname"]
     moments = rows.groupBy(*pair, "n").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"))
     medians = group_median(rows, pair, ["x"]).withColumnRenamed("x", "median")
     return na_join(moments, medians, pair).select(
         *pair,
         *[
-            round_half_even(nan_to_null(c), digits).alias(f"{c}_intake")
+            round_half_even(f"nanvl({c}, CAST(NULL AS DOUBLE))", digits).alias(f"{c}_intake")
             for c in ("mean", "sd", "median")
         ],
         "n",
@@ -60,29 +60,20 @@ def intake_histogram(
     The first bin is centred on the smallest value and the last on the largest; bins are closed on the right. An item whose
     values are all equal has one bin 0.1 wide. Missing and infinite values are left out. ``items`` restricts the items.
     """
-    x = F.col("x")
-    rows = cons.select("item_code", F.col(quantity).cast("double").alias("x")).filter(F.abs(x) < float("inf"))
+    rows = cons.select("item_code", F.col(quantity).cast("double").alias("x")).filter("abs(x) < double('Infinity')")
     if items is not None:
         rows = na_join(rows, items.select("item_code").distinct(), "item_code", "left_semi")
     spans = rows.groupBy("item_code").agg(F.min("x").alias("low"), F.max("x").alias("high"))
-    flat = F.col("high") == F.col("low")
-    grid = stage(
-        spans.select(
-            "item_code",
-            F.when(flat, 0.1).otherwise((F.col("high") - F.col("low")) / (bins - 1)).alias("width"),
-            F.col("low"),
-            F.when(flat, 1).otherwise(bins).alias("n_bins"),
-        ).withColumn(
-            "start",
-            F.when(F.col("n_bins") == 1, F.floor((F.col("low") - 0.05) / 0.1) * 0.1 + 0.05).otherwise(
-                F.col("low") - F.col("width") / 2
-            ),
-        ),
-        "histogram-grid",
+    sized = spans.selectExpr(
+        "item_code",
+        "low",
+        f"CASE WHEN high = low THEN 0.1D ELSE (high - low) / {bins - 1} END AS width",
+        f"CASE WHEN high = low THEN 1 ELSE {bins} END AS n_bins",
     )
+    first_edge = "CASE WHEN n_bins = 1 THEN floor((low - 0.05D) / 0.1D) * 0.1D + 0.05D ELSE low - width / 2 END"
+    grid = stage(sized.selectExpr("item_code", f"{first_edge} AS start", "width", "n_bins"), "histogram-grid")
     # The small shift keeps values that sit on a bin edge, up to rounding, in the lower bin.
-    position = F.ceil((x - F.col("start")) / F.col("width") - 1e-8) - 1
-    bin_no = F.greatest(F.lit(0), F.least(position, F.col("n_bins") - 1)).cast("int")
+    bin_no = F.expr("CAST(greatest(0, least(ceil((x - start) / width - 1e-8D) - 1, n_bins - 1)) AS INT)")
     counts = (
         na_join(rows, grid, "item_code", "inner")
         .groupBy("item_code", bin_no.alias("bin"))

@@ -21,19 +21,18 @@ HH_INFO_COLUMNS = [
 
 def interview_date(df: DataFrame, code: str = "int_month_year", first_year: int = 2020) -> DataFrame:
     """Year and month from a running month code: 1 is December of the first year, 14 is January two years on."""
-    months = F.col(code) + 10
-    known = F.col(code).between(1, 14)
+    known = f"{code} BETWEEN 1 AND 14"
     return df.withColumns(
         {
-            "year": F.when(known, F.floor(months / 12) + first_year).cast("int"),
-            "month": F.when(known, months % 12 + 1).cast("int"),
+            "year": F.expr(f"CASE WHEN {known} THEN CAST({first_year} + ({code} + 10) DIV 12 AS INT) END"),
+            "month": F.expr(f"CASE WHEN {known} THEN CAST(({code} + 10) % 12 + 1 AS INT) END"),
         }
     ).drop(code)
 
 
 def residence_recode(df: DataFrame, code: str = "rural") -> DataFrame:
     """Residence label; codes other than rural and urban are NULL."""
-    return df.withColumn("res", recode(F.col(code), RESIDENCE)).drop(code)
+    return df.withColumn("res", recode(code, RESIDENCE)).drop(code)
 
 
 def household_head(roster: DataFrame, education: DataFrame) -> DataFrame:
@@ -42,7 +41,7 @@ def household_head(roster: DataFrame, education: DataFrame) -> DataFrame:
     educated = na_join(heads, education.select("hhid", "indid", "educ"), ["hhid", "indid"])
     return educated.select(
         "hhid",
-        recode(F.col("sex"), SEX).alias("sex_head"),
+        recode("sex", SEX).alias("sex_head"),
         F.col("age").alias("age_head"),
         F.col("educ").alias("educ_head"),
     )
@@ -59,12 +58,8 @@ def assign_quintile(df: DataFrame, x: str, cuts: DataFrame, out: str, by: str |
         points = df.withColumn("__cuts", cuts.select(F.struct(*names)).scalar())
     else:
         points = na_join(df, cuts.select(by, F.struct(*names).alias("__cuts")), by, null_keys=False)
-    value = F.col(x)
-    fifth = F.when(value < F.col("__cuts.q20"), 1)
-    for rank, name in enumerate(names[1:], start=2):
-        fifth = fifth.when(value < F.col(f"__cuts.{name}"), rank)
-    fifth = fifth.when(value >= F.col("__cuts.q80"), 5)
-    return points.withColumn(out, fifth).drop("__cuts")
+    cases = " ".join(f"WHEN {x} < __cuts.{name} THEN {rank}" for rank, name in enumerate(names, start=1))
+    return points.withColumn(out, F.expr(f"CASE {cases} WHEN {x} >= __cuts.q80 THEN 5 END")).drop("__cuts")
 
 
 def hh_info(cover: DataFrame, head: DataFrame, afe: DataFrame, quintiles: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from larder.functions.columns import across, ending_with, others
 from larder.functions.missing import safe_div, sum_or_zero, times
 from larder.operators.joins import na_join
+from larder.sources.staging import stage
 
 ITEM_COLUMNS = ["item_code", "item_name"]
 CONSUMED = ["quantity_100g", "quantity_g"]
@@ -53,8 +54,8 @@ def price_by_zone(cons: DataFrame, fct: DataFrame, override: ZoneOverride) -> Da
     rows = na_join(rows, by_zone, ["item_code", override.zone])
 
     def amount(c: str) -> Column:
-        zone_value = F.col(f"__zone_{c}") if c in known else F.lit(None).cast("double")
-        return times(F.when(F.col("__zoned"), zone_value).otherwise(F.col(c)), "quantity_100g")
+        zone_value = f"__zone_{c}" if c in known else "CAST(NULL AS DOUBLE)"
+        return times(f"CASE WHEN __zoned THEN {zone_value} ELSE {c} END", "quantity_100g")
 
     return rows.select(*cons.columns, *[amount(c).alias(c) for c in nutrients])
 
@@ -101,10 +102,6 @@ def nutrient_density(cons: DataFrame, fct: DataFrame, energy: str = "energy_kcal
     return dense.select("hhid", *ending_with(dense, "1000kcal"))
 
 
-def _item_sums(cons: DataFrame, keys: list[str]) -> DataFrame:
-    return cons.groupBy(*keys).agg(*[sum_or_zero(c).alias(c) for c in CONSUMED])
-
-
 def full_item_list(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> DataFrame:
     """Households by composition-table items, quantities and nutrients per equivalent: the rows that were consumed.
 
@@ -113,9 +110,9 @@ def full_item_list(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> DataFrame:
     the full grid, an item listed in two food groups contributes its consumption once per (recorded, listed) pair.
     """
     nutrients = nutrients_of(fct)
-    eaten = _item_sums(cons, ["hhid", "item_code", "food_group"]).drop("food_group")
-    listed = cons.select("item_code", "food_group").distinct()
-    rows = na_join(hh.select("hhid", "afe"), eaten, "hhid", "inner", null_keys=False)
+    eaten = cons.groupBy("hhid", "item_code", "food_group").agg(*[sum_or_zero(c).alias(c) for c in CONSUMED])
+    listed = stage(cons.select("item_code", "food_group").distinct(), "listed-items")
+    rows = na_join(hh.select("hhid", "afe"), eaten.drop("food_group"), "hhid", "inner", null_keys=False)
     rows = across(rows, CONSUMED, lambda c: safe_div(c, "afe"))
     rows = na_join(rows, fct, "item_code", "inner")
     rows = na_join(rows, listed, "item_code", "inner")
@@ -123,9 +120,21 @@ def full_item_list(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> DataFrame:
 
 
 def full_item_totals(hh: DataFrame, cons: DataFrame, fct: DataFrame, by: list[str]) -> DataFrame:
-    """Sums of the grid's quantities and nutrients by any of its columns; zero rows add nothing and are never made."""
-    columns = [*CONSUMED, *nutrients_of(fct)]
-    return full_item_list(hh, cons, fct).groupBy(*by).agg(*[sum_or_zero(c).alias(c) for c in columns])
+    """Sums of the grid's quantities and nutrients by item columns (item_code, item_name, food_group).
+
+    Zero rows add nothing and are never made. Nutrients are proportional to the quantity, so the quantities are summed per item
+    first, with a partial sum on the map side, and only those few rows meet the composition table.
+    """
+    nutrients = nutrients_of(fct)
+    rows = na_join(cons, hh.select("hhid", "afe"), "hhid", null_keys=False)
+    per_unit = across(rows, CONSUMED, lambda c: safe_div(c, "afe"))
+    sums = stage(
+        per_unit.groupBy("item_code", "food_group").agg(*[sum_or_zero(c).alias(c) for c in CONSUMED]), "item-sums"
+    )
+    items = na_join(sums.drop("food_group"), fct, "item_code", "inner")
+    items = na_join(items, sums.select("item_code", "food_group"), "item_code", "inner")
+    priced = across(items, nutrients, lambda c: times(c, "quantity_100g"))
+    return priced.groupBy(*by).agg(*[sum_or_zero(c).alias(c) for c in [*CONSUMED, *nutrients]])
 
 
 def food_group_mean_intake(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> DataFrame:
@@ -146,7 +155,7 @@ def food_group_matrix(
     wide = (
         full_item_list(hh, cons, fct)
         .groupBy("hhid")
-        .agg(*[sum_or_zero(F.when(F.col("food_group") == g, F.col(column))).alias(g) for g in groups])
+        .agg(*[sum_or_zero(f"CASE WHEN food_group = '{g}' THEN {column} END").alias(g) for g in groups])
     )
     rows = na_join(hh.select("hhid", "afe"), wide, "hhid", null_keys=False)
-    return across(rows, groups, lambda c: F.coalesce(c, F.when(F.col("afe") > 0, F.lit(0.0))))
+    return across(rows, groups, lambda c: F.expr(f"coalesce({c}, CASE WHEN afe > 0 THEN 0.0D END)"))

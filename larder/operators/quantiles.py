@@ -1,9 +1,10 @@
-"""Exact order statistics of huge, skewed groups without sorting a group in one task.
+"""Exact order statistics of huge, skewed groups without sorting a large group in one task.
 
-Values are counted per (group, bucket), where the bucket is a fixed monotone function of the value, so the count combines
-on the map side and its result is small. A running total over the buckets tells in which bucket each wanted rank lies.
-Only rows of those buckets are looked at again; a bucket that still holds many distinct values is split further, and
-the last step orders the few values left. Nothing is sampled: the answers are exact for any distribution.
+Groups up to a bounded number of rows are sorted directly. The rows of larger groups are counted per (group, bucket), where
+the bucket is a fixed monotone function of the value, so the count combines on the map side and its result is small. A
+running total over the buckets tells in which bucket each wanted rank lies. Only rows of those buckets are looked at again; a
+bucket that still holds too many differing values is split further, and the last step orders the few values left.
+Nothing is sampled: the answers are exact for any distribution.
 """
 
 from __future__ import annotations
@@ -19,20 +20,24 @@ from larder.sources.staging import stage
 
 BUCKETS_PER_OCTAVE = 64
 SPLITS = 1024
-LARGEST_BUCKET = 1_000_000
+LARGEST_GROUP = 1_000_000
 BEYOND_EVERY_BUCKET = 1 << 20
 
 
-def _bucket(x: Column) -> Column:
+def _bucket(x: str) -> Column:
     """Monotone integer of a double: its sign and the binary logarithm of its size in steps of 1/64."""
-    magnitude = F.floor(F.log2(F.abs(x)) * BUCKETS_PER_OCTAVE) + 1100 * BUCKETS_PER_OCTAVE
-    size = F.when(F.abs(x) == float("inf"), BEYOND_EVERY_BUCKET).otherwise(magnitude)
-    return F.when(x == 0, 0).when(x > 0, size).otherwise(-size).cast("int")
+    size = (
+        f"CASE WHEN abs({x}) = double('Infinity') THEN {BEYOND_EVERY_BUCKET}"
+        f" ELSE floor(log2(abs({x})) * {BUCKETS_PER_OCTAVE}) + {1100 * BUCKETS_PER_OCTAVE} END"
+    )
+    return F.expr(f"CAST(CASE WHEN {x} = 0 THEN 0 WHEN {x} > 0 THEN {size} ELSE -({size}) END AS INT)")
 
 
-def _split(x: Column, low: Column, high: Column) -> Column:
+def _split(x: str, low: str, high: str) -> Column:
     """Position of ``x`` between ``low`` and ``high`` in equal steps."""
-    return F.when(high > low, F.floor((x - low) / (high - low) * (SPLITS - 1))).otherwise(0).cast("int")
+    return F.expr(
+        f"CASE WHEN {high} > {low} THEN CAST(floor(({x} - {low}) / ({high} - {low}) * {SPLITS - 1}) AS INT) ELSE 0 END"
+    )
 
 
 def _locate(counts: DataFrame, group: list[str], order: str, before: Column, wanted: Callable[[Column], Column]):
@@ -57,23 +62,46 @@ def order_statistics(
     targets: dict[str, Callable[[Column], Column]],
     by: list[str] = (),
     weight: str | None = None,
-    largest_bucket: int = LARGEST_BUCKET,
+    largest_group: int = LARGEST_GROUP,
 ) -> DataFrame:
     """Per group and target the smallest value whose cumulative weight reaches ``target(total weight)``.
 
     Rows without a value are left out; a value without a weight is an error. ``df`` is scanned once per step, so pass a
-    stored or staged table. Returns one row per group with a column per target.
+    stored or staged table. No task orders more than ``largest_group`` rows of one group, unless they are equal. Returns
+    one row per group with a column per target.
     """
-    by = list(by)
-    names = list(targets)
+    everyone = "__everyone"
+    group = list(by) or [everyone]
     w = F.lit(1.0)
     if weight is not None:
-        w = F.coalesce(F.col(weight).cast("double"), F.raise_error(F.lit(f"missing weight in {weight}")).cast("double"))
+        w = F.expr(f"coalesce(double({weight}), double(raise_error('missing weight in {weight}')))")
     base = (
-        df.filter(~is_missing(F.col(x).cast("double")))
-        .select(*by, F.col(x).cast("double").alias("x"), w.alias("weight"))
-        .withColumn("bucket", _bucket(F.col("x")))
+        df.withColumn(everyone, F.lit(0))
+        .filter(~is_missing(f"double({x})"))
+        .select(*group, F.col(x).cast("double").alias("x"), w.alias("weight"))
+    )
+    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    large = stage(sizes.filter(F.col("n") > largest_group).select(*group), "large-groups")
+    if large.isEmpty():
+        return _sorted(base, group, targets).drop(everyone)
+    rest = _sorted(na_join(base, large, group, "left_anti"), group, targets)
+    split = _bucketed(na_join(base, large, group, "left_semi"), group, targets, largest_group)
+    return rest.unionByName(split).drop(everyone)
+
+
+def _sorted(base: DataFrame, group: list[str], targets: dict) -> DataFrame:
+    """Each group in one sort."""
+    rows = base.withColumn("reached", F.sum("weight").over(Window.partitionBy(*group).orderBy("x")))
+    rows = rows.withColumn("total", F.max("reached").over(Window.partitionBy(*group)))
+    reached = F.col("reached")
+    return rows.groupBy(*group).agg(
+        *[F.min(F.when(reached >= target(F.col("total")), F.col("x"))).alias(name) for name, target in targets.items()]
     )
+
+
+def _bucketed(base: DataFrame, group: list[str], targets: dict, largest_bucket: int) -> DataFrame:
+    """Each group by counting buckets, then ordering the buckets that matter."""
+    base = base.withColumn("bucket", _bucket("x"))
     measures = [
         F.sum("weight").alias("weight"),
         F.min("x").alias("low"),
@@ -85,39 +113,41 @@ def order_statistics(
         pairs = [F.struct(F.lit(k).alias("name"), fn(total).cast("double").alias("target")) for k, fn in targets.items()]
         return F.array(*pairs)
 
-    keys = [*by, "bucket", "name", "target"]
-    first = base.groupBy(*by, "bucket").agg(*measures)
+    keys = [*group, "bucket", "name", "target"]
+    first = base.groupBy(*group, "bucket").agg(*measures)
     spot = stage(
-        _locate(first, by, "bucket", F.lit(0.0), wanted).select(
-            *by, "bucket", "aim.name", "aim.target", F.col("previous").alias("before"), "low", "high", "n"
+        _locate(first, group, "bucket", F.lit(0.0), wanted).select(
+            *group, "bucket", "aim.name", "aim.target", F.col("previous").alias("before"), "low", "high", "n"
         ),
         "quantile-buckets",
     )
 
     def candidates(spot: DataFrame) -> DataFrame:
         inside = F.col("x").between(F.col("low"), F.col("high"))
-        return na_join(base, spot, [*by, "bucket"], "inner").filter(inside)
+        return na_join(base, spot, [*group, "bucket"], "inner").filter(inside)
 
     while _needs_split(spot, largest_bucket):
         parts = (
             candidates(spot)
-            .withColumn("part", _split(F.col("x"), F.col("low"), F.col("high")))
+            .withColumn("part", _split("x", "low", "high"))
             .groupBy(*keys, "before", "part")
             .agg(*measures)
         )
         aim = F.array(F.struct(F.col("name"), F.col("target")))
         spot = stage(
-            _locate(parts, [*by, "name"], "part", F.col("before"), lambda _: aim).select(
+            _locate(parts, [*group, "name"], "part", F.col("before"), lambda _: aim).select(
                 *keys, F.col("previous").alias("before"), "low", "high", "n"
             ),
             "quantile-parts",
         )
 
     values = candidates(spot).groupBy(*keys, "before", "x").agg(F.sum("weight").alias("weight"))
-    order = Window.partitionBy(*by, "name").orderBy("x")
+    order = Window.partitionBy(*group, "name").orderBy("x")
     reached = values.withColumn("reached", F.col("before") + F.sum("weight").over(order))
     hits = reached.filter(F.col("reached") >= F.col("target"))
-    return hits.groupBy(*by).agg(*[F.min(F.when(F.col("name") == k, F.col("x"))).alias(k) for k in names])
+    return hits.groupBy(*group).agg(
+        *[F.min(F.when(F.col("name") == k, F.col("x"))).alias(k) for k in targets]
+    )
 
 
 def _needs_split(spot: DataFrame, largest_bucket: int) -> bool:

@@ -8,18 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.functions.missing import nan_to_null
+from larder.functions.missing import to_number
+from larder.functions.reference import COMPOSITION_COLUMNS
 
-HH_INFO_SCHEMA = T.StructType.fromDDL(
-    "hhid string, adm1 string, adm2 string, res string, sep_quintile int, res_quintile int, age_head int, sex_head string,"
-    " educ_head string, year int, month int, survey_wgt double, afe double, ea int"
-)
-FOOD_CONSUMPTION_SCHEMA = T.StructType.fromDDL(
-    "hhid string, item_code bigint, quantity_100g double, food_group string, quantity_g double"
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
+
+
+def schema_of(**columns: str) -> T.StructType:
+    """Schema from column names and type names."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
+
+
+HH_INFO_SCHEMA = schema_of(
+    hhid="string", adm1="string", adm2="string", res="string", sep_quintile="int", res_quintile="int", age_head="int",
+    sex_head="string", educ_head="string", year="int", month="int", survey_wgt="double", afe="double", ea="int",
+)
+FOOD_CONSUMPTION_SCHEMA = schema_of(
+    hhid="string", item_code="bigint", quantity_100g="double", food_group="string", quantity_g="double"
 )
-FCT_SCHEMA = T.StructType.fromDDL(
-    "item_code bigint, item_name string, energy_kcal double, vita_rae_mcg double, thia_mg double, ribo_mg double,"
-    " niac_mg double, vitb6_mg double, folate_mcg double, vitb12_mcg double, fe_mg double, zn_mg double"
+FCT_SCHEMA = schema_of(
+    item_code="bigint", item_name="string", **{name: "double" for name in COMPOSITION_COLUMNS.values()}
 )
 
 
@@ -40,8 +48,9 @@ def read_csv_na(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     raw = spark.read.options(header=True, nullValue="NA", emptyValue="NA").csv(path)
 
     def typed(field: T.StructField):
-        c = F.col(field.name).try_cast(field.dataType)
-        return (nan_to_null(c) if field.dataType == T.DoubleType() else c).alias(field.name)
+        if field.dataType == T.DoubleType():
+            return to_number(field.name).alias(field.name)
+        return F.col(field.name).try_cast(field.dataType).alias(field.name)
 
     return raw.select(*[typed(f) for f in schema.fields])
 

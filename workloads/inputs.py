@@ -217,5 +217,5 @@ def rounded(df: DataFrame, digits: int = 4, **other_digits: int | None) -> DataF
     """
     places = {name: other_digits.get(name, digits) for name, kind in df.dtypes if kind == "double"}
     return df.withColumns(
-        {c: F.round(F.col(c) + float(f"1.23e-{d + 2}"), d) for c, d in places.items() if d is not None}
+        {c: F.expr(f"round(`{c}` + 1.23e-{d + 2}D, {d})") for c, d in places.items() if d is not None}
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from workloads.inputs import Tables
 from workloads.oracle import with_steps
 
+FUNCTIONS: dict[str, Callable[[Tables], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -18,6 +19,7 @@ def query(sql: str, name: str | None = None):
 
     def register(fn: Callable[[Tables], DataFrame]):
         key = name or fn.__name__
+        FUNCTIONS[key] = fn
         QUERIES[key] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
         ORACLE[key] = with_steps(sql)
         return fn

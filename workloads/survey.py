@@ -179,7 +179,7 @@ def sep_quintile(t: Tables):
 @query("SELECT hhid, res, exp_pae, res_quintile FROM st_quintiles")
 def res_quintile(t: Tables):
     spent = stage(na_join(t.expenditure, t.residences, "hhid", null_keys=False), "expenditure")
-    cuts = weighted_quantile(spent, "exp_pae", "hhweight", by="res")
+    cuts = stage(weighted_quantile(spent, "exp_pae", "hhweight", by="res"), "cuts")
     return household.assign_quintile(spent, "exp_pae", cuts, "res_quintile", by="res").drop("hhweight")
 
 

@@ -28,8 +28,10 @@ RENAMED_OLD = ", ".join(f"{raw} AS {new}" for raw, new in OLD_MODULE.items())
 def src_csv_na(t: Tables):
     path = new_path(t.spark, "csv")
     tables.write_csv_na(t.raw_new, path)
-    columns = "y5_hhid string, itemcode bigint, hh_ja01 int, hh_ja02_1 int, hh_ja02_2 double, hh_ja09_2 double"
-    return tables.read_csv_na(t.spark, path, tables.T.StructType.fromDDL(columns))
+    schema = tables.schema_of(
+        y5_hhid="string", itemcode="bigint", hh_ja01="int", hh_ja02_1="int", hh_ja02_2="double", hh_ja09_2="double"
+    )
+    return tables.read_csv_na(t.spark, path, schema)
 
 
 @query(
@@ -118,7 +120,7 @@ def proj_mutate(t: Tables):
 @query(f"SELECT item_code, item_name, {each('@ * 0.5e0 AS @')} FROM st_fct5")
 def proj_across_scale(t: Tables):
     sheet = t.wave5_sheet
-    return across(sheet, nutrients_of(sheet), lambda c: c * 0.5)
+    return across(sheet, nutrients_of(sheet), lambda c: F.col(c) * 0.5)
 
 
 @query(f"SELECT item_name, item_code, {', '.join(NUTRIENTS)} FROM st_fct4")
@@ -221,9 +223,9 @@ def agg_sum_zero(t: Tables):
     count(*) FILTER (WHERE moid IS NOT NULL) AS with_mother FROM in_roster GROUP BY hhid""")
 def agg_count_if(t: Tables):
     return t.roster.groupBy("hhid").agg(
-        missing.count_where(F.col("eat7d") == 1).alias("eaters"),
-        missing.count_where(F.col("age") < 2).alias("infants"),
-        missing.count_where(F.col("moid").isNotNull()).alias("with_mother"),
+        missing.count_where("eat7d = 1").alias("eaters"),
+        missing.count_where("age < 2").alias("infants"),
+        missing.count_where("moid IS NOT NULL").alias("with_mother"),
     )
 
 
@@ -322,13 +324,13 @@ def fn_case_when(t: Tables):
         .when((F.col("sex") == 2) & F.col("moid").isNull(), "woman")
         .otherwise("other")
     )
-    return t.roster.select("hhid", "indid", stage_of.alias("stage"), recode(F.col("sex"), {1: "Male", 2: "Female"}).alias("sex_label"))
+    return t.roster.select("hhid", "indid", stage_of.alias("stage"), recode("sex", {1: "Male", 2: "Female"}).alias("sex_label"))
 
 
 @query("""SELECT hhid, indid, CASE WHEN weight IS NULL THEN NULL WHEN weight > 30 THEN 'heavy' ELSE 'light' END AS class
     FROM in_anthropometry""")
 def fn_if_else_null(t: Tables):
-    heavy = missing.if_else(F.col("weight") > 30, F.lit("heavy"), F.lit("light"))
+    heavy = missing.if_else("weight > 30", "'heavy'", "'light'")
     return t.anthropometry.select("hhid", "indid", heavy.alias("class"))
 
 
@@ -346,7 +348,7 @@ def fn_coalesce(t: Tables):
                                  "THEN log10(l_discount - 0.05e0) END", 6, 'log_discount')} FROM lineitem""")
 def fn_log10(t: Tables):
     rows = t.spark.read.schema("l_orderkey bigint, l_partkey bigint, l_discount double").parquet(f"{t.sf_dir}/lineitem.parquet")
-    logs = rows.select("l_orderkey", "l_partkey", missing.log10_ieee(F.col("l_discount") - 0.05).alias("log_discount"))
+    logs = rows.select("l_orderkey", "l_partkey", missing.log10_ieee("l_discount - 0.05D").alias("log_discount"))
     return rounded(logs, 6)
 
 

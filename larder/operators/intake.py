@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.columns import across, ending_with, others
 from larder.functions.missing import safe_div, sum_or_zero, times
-from larder.operators.joins import na_join
+from larder.operators.joins import na_join, union_by_name
 from larder.sources.staging import stage
 
 ITEM_COLUMNS = ["item_code", "item_name"]
@@ -42,22 +42,17 @@ def price(cons: DataFrame, fct: DataFrame, item_key=("item_code",)) -> DataFrame
 
 
 def price_by_zone(cons: DataFrame, fct: DataFrame, override: ZoneOverride) -> DataFrame:
-    """As ``price``, but items listed in the override take the composition of their household's zone, or NULL."""
-    nutrients = nutrients_of(fct)
+    """As ``price``, but items listed in the override take the composition of their household's zone, or NULL.
+
+    Only the rows of those items are joined with the zones of the households; all others never move.
+    """
     zoned = override.fct.filter(F.col(override.zone).isNotNull())
-    special = zoned.select("item_code", F.lit(True).alias("__zoned")).distinct()
-    known = others(zoned, [*ITEM_COLUMNS, override.zone])
-    by_zone = zoned.select("item_code", override.zone, *[F.col(c).alias(f"__zone_{c}") for c in known])
-    rows = na_join(cons, fct.select("item_code", *nutrients), "item_code")
-    rows = na_join(rows, special, "item_code")
-    rows = na_join(rows, override.zones.select("hhid", override.zone), "hhid", null_keys=False)
-    rows = na_join(rows, by_zone, ["item_code", override.zone])
-
-    def amount(c: str) -> Column:
-        zone_value = f"__zone_{c}" if c in known else "CAST(NULL AS DOUBLE)"
-        return times(f"CASE WHEN __zoned THEN {zone_value} ELSE {c} END", "quantity_100g")
-
-    return rows.select(*cons.columns, *[amount(c).alias(c) for c in nutrients])
+    listed = zoned.select("item_code").distinct()
+    plain = price(na_join(cons, listed, "item_code", "left_anti"), fct)
+    special = na_join(cons, listed, "item_code", "left_semi")
+    special = na_join(special, override.zones.select("hhid", override.zone), "hhid", null_keys=False)
+    by_zone = price(special, zoned, ["item_code", override.zone]).drop(override.zone)
+    return union_by_name(plain, by_zone)
 
 
 def household_totals(priced: DataFrame, nutrients: list[str], keys=("hhid",)) -> DataFrame:

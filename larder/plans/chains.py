@@ -105,7 +105,7 @@ def household_table(
     )
 
 
-def clean_consumption(cons: DataFrame, hh: DataFrame, k: float = 3) -> DataFrame:
+def clean_consumption(cons: DataFrame, hh: DataFrame, k: float = 3, **median_options) -> DataFrame:
     """Consumption with implausibly large quantities replaced by the median of their item.
 
     The rows per equivalent are stored once; cut points, medians and the final rows read that table.
@@ -114,7 +114,7 @@ def clean_consumption(cons: DataFrame, hh: DataFrame, k: float = 3) -> DataFrame
     per_unit = stage(cleaning.rescale(rows, "afe", QUANTITIES, to_unit=True), "per-afe")
     kept = cleaning.outlier_log_sd(per_unit, "item_code", "quantity_g", k)
     kept = cleaning.blank_where_missing(kept, "quantity_100g", where="quantity_g")
-    filled = cleaning.impute_group_median(kept, "item_code", QUANTITIES)
+    filled = cleaning.impute_group_median(kept, "item_code", QUANTITIES, **median_options)
     return cleaning.rescale(filled, "afe", QUANTITIES, to_unit=False).drop("afe")
 
 

@@ -31,6 +31,10 @@ FCT_SCHEMA = schema_of(
 )
 
 
+# Scans with fewer tasks than this (about 4 GB at the default split size) may be spread.
+SMALL_SCAN_TASKS = 32
+
+
 class Survey(NamedTuple):
     """The three tables of one named survey."""
 
@@ -66,6 +70,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.read.format(fmt).schema(schema).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small scan over the session's cores; a scan that already gives many tasks stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, SMALL_SCAN_TASKS) else df
+
+
 def household_data(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> DataFrame:
     """The household table of a named survey."""
     return read_table(spark, f"{base}/{name}_hh_info", HH_INFO_SCHEMA, fmt)

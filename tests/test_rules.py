@@ -173,3 +173,18 @@ def test_imputation_follows_the_blanking_order(spark):
 def test_negative_rows(spark):
     df = spark.createDataFrame([(1.0, 1.0), (-1.0, 1.0), (1.0, -1.0), (None, 1.0)], "a double, b double")
     assert quality.negative_rows(df, ["a", "b"]).count() == 2
+
+
+def test_staged_tables_can_be_dropped(spark, tmp_path):
+    staged = staging.stage(spark.range(3).toDF("x"), "gone")
+    path = staged.inputFiles()[0].removeprefix("file://")
+    assert staging.drop_staged(spark)
+    with pytest.raises(FileNotFoundError):
+        open(path)
+
+
+def test_a_large_scan_is_not_spread(spark):
+    many = spark.range(0, 1000, 1, 40).toDF("x")
+    few = spark.range(0, 1000, 1, 2).toDF("x")
+    assert tables.spread(many).rdd.getNumPartitions() == 40
+    assert tables.spread(few).rdd.getNumPartitions() == 8

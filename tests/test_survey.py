@@ -6,8 +6,6 @@ import itertools
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F
-
 from larder.functions.reference import REQUIREMENTS
 from larder.operators import adequacy, consumption, energy, explore, household, intake
 from larder.operators.intake import ZoneOverride

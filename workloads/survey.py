@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators import adequacy, cleaning, composition, consumption, energy, explore, export, household, intake
+from larder.operators import adequacy, cleaning, consumption, energy, explore, export, household, intake
 from larder.operators.consumption import OLD_MODULE, QUANTITIES
 from larder.operators.intake import ZoneOverride
 from larder.operators.joins import na_join, union_by_name

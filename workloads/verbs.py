@@ -8,13 +8,16 @@ from larder.functions import missing
 from larder.functions.columns import across, first_columns, others, recode
 from larder.functions.reference import COMPOSITION_COLUMNS, requirement_table
 from larder.operators import consumption, joins, quantiles
+from larder.operators.cleaning import impute_group_median
+from larder.operators.composition import fct_build
 from larder.operators.consumption import NEW_MODULE, OLD_MODULE
-from larder.operators.intake import apparent_intake, nutrients_of
+from larder.operators.intake import apparent_intake, household_totals, nutrients_of, price
 from larder.operators.quality import negative_rows, null_keys, repeated_keys
+from larder.plans.chains import daily_consumption
 from larder.sources import tables
 from larder.sources.staging import new_path
 from workloads.inputs import Tables, rounded
-from workloads.oracle import NUTRIENTS, SHEET, each, rnd, rounded_nutrients
+from workloads.oracle import NUTRIENTS, SHEET, each, rnd
 from workloads.registry import query
 
 RENAMED = ", ".join(f"{raw} AS {new}" for raw, new in NEW_MODULE.items())
@@ -156,8 +159,6 @@ def filter_null(t: Tables):
 
 @query("SELECT hhid, item_code, quantity_g, quantity_100g FROM st_daily WHERE quantity_g < 0 OR quantity_100g < 0")
 def dq_negative_quantities(t: Tables):
-    from larder.plans.chains import daily_consumption
-
     daily = daily_consumption(t.new_module, t.old_module)
     return negative_rows(daily, consumption.QUANTITIES).drop("itemname")
 
@@ -255,8 +256,6 @@ def agg_count(t: Tables):
 @query(f"SELECT hhid, {', '.join(rnd(f'coalesce(sum(c.quantity_100g * f.{n}), 0)', 2, n) for n in NUTRIENTS)} FROM st_cons c "
        "LEFT JOIN st_fct f ON c.item_code = f.item_code GROUP BY hhid")
 def agg_across_sum(t: Tables):
-    from larder.operators.intake import household_totals, price
-
     priced = price(t.cons, t.fct)
     kept = others(priced, ["hhid", "item_code", "food_group", "quantity_g", "quantity_100g"])
     return rounded(household_totals(priced, kept), 2)
@@ -285,8 +284,6 @@ def weighted_quantile_by(t: Tables):
 @query(f"""SELECT y5_hhid, itemcode, {rnd('coalesce(hh_ja02_2, median(hh_ja02_2) OVER (PARTITION BY itemcode))', name='hh_ja02_2')}
     FROM in_raw_new""")
 def window_group_median(t: Tables):
-    from larder.operators.cleaning import impute_group_median
-
     rows = t.raw_new.select("y5_hhid", "itemcode", "hh_ja02_2")
     return rounded(impute_group_median(rows, "itemcode", ["hh_ja02_2"]))
 
@@ -307,8 +304,6 @@ def union_distinct(t: Tables):
 
 @query("SELECT * FROM st_fct")
 def fct_override_union(t: Tables):
-    from larder.operators.composition import fct_build
-
     return fct_build(t.wave5_sheet, t.wave4_sheet)
 
 

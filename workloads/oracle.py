@@ -30,6 +30,11 @@ def div(n: str, d: str) -> str:
     return f"CASE WHEN {d} = 0 THEN CASE WHEN {n} > 0 THEN CAST('Infinity' AS DOUBLE) WHEN {n} < 0 THEN CAST('-Infinity' AS DOUBLE) END ELSE {n} / {d} END"
 
 
+def known(expr: str) -> str:
+    """The value, or NULL where it is not a number."""
+    return f"CASE WHEN NOT isnan({expr}) THEN {expr} END"
+
+
 def _sheet(source: str, code: str, name: str) -> str:
     numbers = ", ".join(f"TRY_CAST({raw} AS DOUBLE) AS {new}" for raw, new in SHEET.items())
     return f"SELECT CAST({code} AS BIGINT) AS item_code, {name} AS item_name, {numbers} FROM {source}"
@@ -158,13 +163,13 @@ STEPS = {name: body.format(**{n: n for n in [*BASE_TABLES, *BODIES]}) for name,
     "st_imputed": """SELECT hhid, item_code, food_group, afe,
  coalesce(quantity_g, median(quantity_g) OVER (PARTITION BY item_code)) AS quantity_g,
  coalesce(quantity_100g, median(quantity_100g) OVER (PARTITION BY item_code)) AS quantity_100g FROM st_trimmed""",
-    "st_clean": """SELECT hhid, item_code, food_group, quantity_g * afe AS quantity_g, quantity_100g * afe AS quantity_100g
- FROM st_imputed""",
+    "st_clean": f"""SELECT hhid, item_code, food_group, {known('quantity_g * afe')} AS quantity_g,
+ {known('quantity_100g * afe')} AS quantity_100g FROM st_imputed""",
     "st_intake": intake("st_cons"),
     "st_base_ai": intake("st_clean"),
     "st_eaten": """SELECT hhid, item_code, food_group, coalesce(sum(quantity_100g), 0) AS quantity_100g,
  coalesce(sum(quantity_g), 0) AS quantity_g FROM st_cons GROUP BY hhid, item_code, food_group""",
-    "st_grid": f"""SELECT hhid, afe, item_code, quantity_100g, quantity_g, item_name, {each('@ * quantity_100g AS @')}, food_group
+    "st_grid": f"""SELECT hhid, afe, item_code, quantity_100g, quantity_g, item_name, {each(known('@ * quantity_100g') + ' AS @')}, food_group
  FROM (SELECT h.hhid, afe, e.item_code, {div('quantity_100g', 'afe')} AS quantity_100g, {div('quantity_g', 'afe')} AS quantity_g
  FROM st_hh h JOIN st_eaten e ON h.hhid = e.hhid) JOIN st_fct USING (item_code) JOIN (SELECT DISTINCT item_code, food_group
  FROM st_cons) USING (item_code)""",

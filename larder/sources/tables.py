@@ -113,5 +113,8 @@ def append_partitioned(df: DataFrame, path: str, partition_by=("iso3", "survey")
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16) -> None:
-    """Append to a database table over at most ``connections`` parallel connections."""
-    df.coalesce(connections).write.jdbc(url, table, mode="append", properties=properties)
+    """Append to a database table over at most ``connections`` parallel connections.
+
+    The rows are repartitioned rather than coalesced, so the steps before the write keep their parallelism.
+    """
+    df.repartition(connections).write.jdbc(url, table, mode="append", properties=properties)

@@ -2,7 +2,8 @@
 
 The test data holds no survey, so households stand for customers, members for orders, food items for parts and consumption
 rows for line items. The bodies run unchanged in Spark and in the SQL engine that checks the results; ``{name}`` refers to a
-base table or an earlier body. Every base row reaches its survey table.
+base table or an earlier body. Every customer, order and line item reaches its table; the lookups lack some items on purpose,
+as survey lookups do.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import mixing, packing, quality_rules
+from larder.llm import mixing, near_dedup, packing, quality_rules
 from larder.llm.common import documents
 
 
@@ -23,4 +23,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_packing, op6_mixing)}
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(documents(spark, sf_dir), shingle=4, threshold=80)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_packing, op6_mixing, op9_near_dedup)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import mixing, near_dedup, packing, quality_rules
+from larder.llm import mixing, near_dedup, packing, quality_rules, substring_dedup
 from larder.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*base, "quality")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept_text")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -27,4 +31,4 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(documents(spark, sf_dir), shingle=4, threshold=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_packing, op6_mixing, op9_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_substring_dedup, op4_packing, op6_mixing, op9_near_dedup)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -21,8 +22,12 @@ def mix(h: np.ndarray) -> np.ndarray:
 CODES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
+#: Bytes hashed at once, and the length from which a word is hashed on its own.
+STRETCH, LONG_WORD = 1 << 20, 1 << 16
+
+
 class Powers:
-    """Powers of ``BASE`` and of its inverse, kept for the longest buffer seen."""
+    """Powers of ``BASE`` and of its inverse, kept up to the largest number asked for."""
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
@@ -36,24 +41,49 @@ class Powers:
 
 
 class Windows:
-    """Word windows of a batch of texts. ``words`` counts each text's words, ``joined`` holds all words, joined by spaces."""
+    """Word windows of a batch of texts.
+
+    ``words`` counts each text's words, ``first`` is the number of its first word in the batch, ``joined`` holds all words, joined by
+    single spaces, word ``i`` from ``starts[i]`` to ``ends[i]``. Memory beyond the words themselves is some 40 bytes a word.
+    """
 
     def __init__(self, texts: Sequence[bytes], powers: Powers):
         split = [t.split() for t in texts]
         self.words = np.array([len(ws) for ws in split], dtype=np.int64)
+        self.first = np.append(0, np.cumsum(self.words))
         self.joined = b" ".join([b" ".join(ws) for ws in split if ws])
+        del split
         raw = np.frombuffer(self.joined, np.uint8)
         self.ends = np.append(np.flatnonzero(raw == 32), len(raw)) if len(raw) else np.zeros(0, np.int64)
         self.starts = np.append(0, self.ends[:-1] + 1) if len(raw) else np.zeros(0, np.int64)
-        self.first = np.append(0, np.cumsum(self.words))
-        powers.upto(len(raw) + 1)
+        powers.upto(max(STRETCH + LONG_WORD, len(self.starts)) + 1)
         self.powers = powers
-        self.sums = np.append(np.uint64(0), np.cumsum(CODES[raw] * powers.up[: len(raw)], dtype=np.uint64))
+        terms = self.word_hashes(raw) * powers.up[: len(self.starts)]
+        self.sums = np.append(np.uint64(0), np.cumsum(terms, dtype=np.uint64))
+
+    def word_hashes(self, raw: np.ndarray) -> np.ndarray:
+        out = np.empty(len(self.starts), np.uint64)
+        lengths = self.ends - self.starts
+        long = np.flatnonzero(lengths > LONG_WORD)
+        at = 0
+        while at < len(out):
+            if lengths[at] > LONG_WORD:
+                word = hashlib.blake2b(raw[self.starts[at] : self.ends[at]], digest_size=8).digest()
+                out[at], at = int.from_bytes(word, "little"), at + 1
+                continue
+            base = self.starts[at]
+            to = max(at + 1, int(np.searchsorted(self.ends, base + STRETCH, "right")))
+            to = min(to, int(long[np.searchsorted(long, at)])) if np.searchsorted(long, at) < len(long) else to
+            a, b = self.starts[at:to] - base, self.ends[at:to] - base
+            part = raw[base : self.ends[to - 1]]
+            sums = np.append(np.uint64(0), np.cumsum(CODES[part] * self.powers.up[: len(part)], dtype=np.uint64))
+            out[at:to] = mix((sums[b] - sums[a]) * self.powers.down[a] + (b - a).astype(np.uint64))
+            at = to
+        return out
 
     def hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """64-bit hashes of the words ``first`` to ``last`` (both inclusive, numbered over the batch), joined by single spaces."""
-        a, b = self.starts[first], self.ends[last]
-        return mix((self.sums[b] - self.sums[a]) * self.powers.down[a] + (b - a).astype(np.uint64))
+        """64-bit hashes of the word sequences from ``first`` to ``last``, both inclusive."""
+        return mix((self.sums[last + 1] - self.sums[first]) * self.powers.down[first] + (last - first + 1).astype(np.uint64))
 
     def sets(self, size: int) -> list[np.ndarray]:
         """Of each text the sorted distinct hashes of its windows of ``size`` words; of a shorter text its one whole sequence."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import mixing, near_dedup, packing, quality_rules, substring_dedup
+from larder.llm import mixing, near_dedup, packing, pii, quality_rules, substring_dedup
 from larder.llm.common import documents
 
 
@@ -31,4 +31,8 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(documents(spark, sf_dir), shingle=4, threshold=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_substring_dedup, op4_packing, op6_mixing, op9_near_dedup)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(documents(spark, sf_dir)).drop("terms")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_substring_dedup, op4_packing, op6_mixing, op9_near_dedup, op10_pii)}

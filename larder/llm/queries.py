@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import mixing, near_dedup, packing, pii, quality_rules, substring_dedup
+from larder.llm import lm_scoring, mixing, near_dedup, packing, pii, quality_rules, substring_dedup
 from larder.llm.common import documents
 
 
@@ -27,6 +27,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf_dir))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(documents(spark, sf_dir), shingle=4, threshold=80)
 
@@ -35,4 +39,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(documents(spark, sf_dir)).drop("terms")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_substring_dedup, op4_packing, op6_mixing, op9_near_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_substring_dedup, op4_packing, op6_mixing, op8_lm_scoring, op9_near_dedup, op10_pii)}

@@ -15,6 +15,7 @@ class sizes whatever the input's size, are packed first-fit decreasing in one sm
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -31,60 +32,71 @@ CAPACITY = 2048
 END_ID = 1
 #: A piece may be this much shorter than its class allows: tokens, or a share of the class size.
 SLACK, SLACK_SHARE = 2, 1 / 64
-#: Tokenized words that a task remembers; the memory is emptied when full.
-REMEMBERED = 300_000
-#: Words that a task tokenizes in one call.
-CHUNK = 4096
+#: Words that a task remembers the ids of; the memory is emptied when full.
+REMEMBERED = 400_000
+
+#: Lower-case letters whose words need no normalising: ASCII and Latin-1.
+PLAIN = frozenset("abcdefghijklmnopqrstuvwxyz\u00df") | frozenset(chr(c) for c in range(0xE0, 0x100) if c != 0xF7)
+#: Byte-level vocabularies write a byte as the Latin-1 letter if that is printable, the others from code point 256 on.
+_printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _printable)}
+PUNCTUATION = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+
+
+class Memory(dict):
+    """What ``make`` gives for a key, made once."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self[key] = self.make(key)
+        return value
 
 
 class WordTokenizer:
-    """Token ids of texts by a tokenizer that drops white space, so that a text's ids are its words' ids one after another."""
+    """Token ids of texts by a byte-level word tokenizer that lowers case and drops white space.
+
+    A text's ids are its words' ids one after another, so every word is tokenized once. Words that differ in ASCII case or in
+    closing punctuation share their parts; a plain word goes straight to the tokenizer's model, any other through all its steps.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.forms: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        """Tokenize the words not yet known. Words that differ in ASCII case or closing punctuation share one look-up."""
-        parts = {w: self.parts(w) for w in words}
-        new = [p for p in {p for ps in parts.values() for p in ps} if p not in self.forms]
-        for i in range(0, len(new), CHUNK):
-            self.forms.update(zip(new[i : i + CHUNK], self.encode(new[i : i + CHUNK]), strict=True))
-        self.known.update((w, b"".join([self.forms[p] for p in ps])) for w, ps in parts.items())
-
-    @staticmethod
-    def parts(word: bytes) -> tuple[bytes, ...]:
-        """The tokenizer lowers case itself, and cuts between an ASCII letter or digit and punctuation. Special tokens stay whole."""
+        self.model = self.tokenizer.model
+        self.parts, self.known = Memory(self.encode), Memory(self.word)
+
+    def word(self, word: bytes) -> bytes:
+        """The tokenizer cuts between a letter or digit and punctuation. A word that may hold a special token stays whole."""
         if b"<|" in word:
-            return (word,)
+            return self.parts[word]
         word = word.lower()
-        stem = word.rstrip(b".,;:!?")
-        return (stem, word[len(stem) :]) if stem != word and stem[-1:].isalnum() else (word,)
-
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word, as little-endian unsigned 32-bit numbers, from one call on the words joined by spaces."""
-        texts = [w.decode() for w in words]
-        starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
-        coded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(coded.ids, dtype="<u4")
-        places = np.array([a for a, _ in coded.offsets], dtype=np.int64)
-        cuts = np.searchsorted(places, starts)
-        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        stem = word.rstrip(PUNCTUATION)
+        if stem != word and stem[-1:].isalnum():
+            return self.parts[stem] + self.parts[word[len(stem) :]]
+        return self.parts[word]
+
+    def encode(self, part: bytes) -> bytes:
+        """Ids as little-endian unsigned 32-bit numbers."""
+        text = part.decode()
+        lower = text.lower()
+        if part.isalpha() or PLAIN.issuperset(lower):
+            letters = lower if part.isascii() else lower.encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = [token.id for token in self.model.tokenize(letters)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         """The ids of each text; of a null text none."""
         for text in texts:
-            ws = (text or b"").split()
             if len(self.known) > REMEMBERED:
-                self.known, self.forms = {}, {}
-            new = [w for w in set(ws) if w not in self.known]
-            if new:
-                self.learn(new)
-            yield b"".join(map(self.known.__getitem__, ws))
+                self.known.clear()
+                self.parts.clear()
+            yield b"".join(map(self.known.__getitem__, (text or b"").split()))
 
 
 def cut(n: int, capacity: int = CAPACITY) -> Iterator[tuple[int, int]]:

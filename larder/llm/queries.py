@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import lm_scoring, mixing, near_dedup, packing, pii, quality_rules, substring_dedup
+from larder.llm import language_id, lm_scoring, mixing, near_dedup, packing, pii, quality_rules, substring_dedup
 from larder.llm.common import documents
 
 
@@ -15,6 +16,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*base, "quality")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir)).withColumn("n_spans", F.size("spans")).drop("spans")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept_text")
 
@@ -39,4 +44,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(documents(spark, sf_dir)).drop("terms")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_substring_dedup, op4_packing, op6_mixing, op8_lm_scoring, op9_near_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_packing, op6_mixing, op8_lm_scoring, op9_near_dedup, op10_pii)}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import language_id, lm_scoring, mixing, near_dedup, packing, pii, quality_rules, substring_dedup
+from larder.llm import language_id, license_scan, lm_scoring, mixing, near_dedup, packing, pii, quality_rules, substring_dedup, vp_search
 from larder.llm.common import documents
 
 
@@ -28,10 +28,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(documents(spark, sf_dir))
+    return found.withColumn("licenses", F.array_join("licenses", ","))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_vp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_search.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(documents(spark, sf_dir))
 
@@ -44,4 +53,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(documents(spark, sf_dir)).drop("terms")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_packing, op6_mixing, op8_lm_scoring, op9_near_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_packing, op5_license_scan, op6_mixing, op7_vp_search, op8_lm_scoring, op9_near_dedup, op10_pii)}

@@ -32,6 +32,12 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(BLANK_CLASS.replace("[", "[^") + "+")), F.lit(0)).cast("long")
 
 
+def bucket_of(doc_id: Column, seed: int) -> Column:
+    """A bucket by the first digits of an MD5 digest, which any engine can compute; a null id has one like any other."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), doc_id.cast("string")))
+    return F.pmod(F.conv(F.substring(digest, 1, 3), 16, 10).cast("int"), F.lit(BUCKETS))
+
+
 def source_targets(
     sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS, share: float = 1.0
 ) -> DataFrame:
@@ -73,7 +79,7 @@ def mix(
     result. The outcome depends on the rows and the seed alone, so reruns agree.
     """
     rows = with_rows(docs)
-    place = F.pmod(F.xxhash64(F.col("row")["doc_id"], F.lit(seed)), F.lit(BUCKETS)).cast("int")
+    place = bucket_of(F.col("row")["doc_id"], seed)
     sized = rows.select(
         *(["row"] if keep_rows else []),
         F.col("row")["doc_id"].alias("doc_id"),

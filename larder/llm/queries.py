@@ -13,7 +13,7 @@ from larder.llm.common import documents
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, sf_dir))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return judged.select(*base, "quality")
+    return judged.select(*base, F.round("quality", 4).alias("quality"))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from larder.llm.common import stage, with_rows
 
@@ -212,7 +213,7 @@ def detect(docs: DataFrame) -> DataFrame:
     return marked.select("doc_id", *[f"n_{kind}" for kind in KINDS], "base_sha256", spans.alias("spans"), "terms")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def redacted(text: pd.Series, spans: pd.Series, terms: pd.Series) -> pd.Series:
     """Each find replaced by its kind in brackets; a term to remove by nothing. Overlapping finds are one, named by the first."""
 

@@ -43,8 +43,8 @@ def times(a: str, b: str) -> Column:
 
 
 def log10_ieee(x: str) -> Column:
-    """Base-10 logarithm with -Infinity at zero and NULL below it."""
-    return F.expr(f"CASE WHEN {x} = 0 THEN double('-Infinity') WHEN {x} > 0 THEN log10({x}) END")
+    """Base-10 logarithm with -Infinity at zero and NULL below it and for NaN."""
+    return F.expr(f"CASE WHEN isnan({x}) THEN NULL WHEN {x} = 0 THEN double('-Infinity') WHEN {x} > 0 THEN log10({x}) END")
 
 
 def sum_or_zero(x: str) -> Column:
@@ -62,5 +62,11 @@ def to_number(x: str) -> Column:
     return F.expr(f"nanvl(try_cast({x} AS DOUBLE), CAST(NULL AS DOUBLE))")
 
 
+def to_integer(x: str, kind: str) -> Column:
+    """Text to an integer type; ``3.0`` and ``1e5`` are integers too, text that is none becomes NULL."""
+    number = f"try_cast({x} AS DOUBLE)"
+    return F.expr(f"coalesce(try_cast({x} AS {kind}), CASE WHEN {number} = floor({number}) THEN try_cast({number} AS {kind}) END)")
+
+
 def round_half_even(x: str, digits: int = 1) -> Column:
     return F.expr(f"bround({x}, {digits})")

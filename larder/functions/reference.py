@@ -81,14 +81,14 @@ CHILD_ENERGY = {
     2: (1.102, 0.273, -0.0019),
 }
 
-# Basal metabolic rate in kcal by sex and age span (above, up to) = slope * kg + constant.
+# Basal metabolic rate in kcal by sex and age = slope * kg + constant.
 ADULT_BMR = [
-    (1, 18, 30, 15.057, 692.2),
-    (1, 30, 59, 11.472, 873.1),
-    (1, 59, None, 11.711, 587.7),
-    (2, 18, 30, 14.818, 486.6),
-    (2, 30, 59, 8.126, 845.6),
-    (2, 59, None, 9.082, 658.5),
+    (1, "age > 18 AND age <= 30", 15.057, 692.2),
+    (1, "age > 30 AND age < 60", 11.472, 873.1),
+    (1, "age >= 60", 11.711, 587.7),
+    (2, "age > 18 AND age <= 30", 14.818, 486.6),
+    (2, "age > 30 AND age < 60", 8.126, 845.6),
+    (2, "age >= 60", 9.082, 658.5),
 ]
 
 

@@ -60,9 +60,9 @@ def quantity_resolution(cons: DataFrame, unit_conv: DataFrame, metric_units=(1,
     units = ", ".join(str(u) for u in metric_units)
     grams = F.expr(
         f"""coalesce(
-            CASE WHEN unit IN ({units}) THEN quantity * conv_fac * edible_portion END,
-            weighed_quantity * weighed_fac * edible_portion,
-            est_metric_quantity * est_fac * edible_portion)"""
+            nanvl(double(CASE WHEN unit IN ({units}) THEN quantity * conv_fac * edible_portion END), NULL),
+            nanvl(double(weighed_quantity * weighed_fac * edible_portion), NULL),
+            nanvl(double(est_metric_quantity * est_fac * edible_portion), NULL))"""
     )
     return rows.select("hhid", "item_code", "itemname", grams.alias("quantity_g")).withColumn(
         "quantity_100g", F.col("quantity_g") / 100

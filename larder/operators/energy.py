@@ -89,10 +89,7 @@ def child_tee(weights: DataFrame) -> DataFrame:
 
 def adult_tee(weights: DataFrame) -> DataFrame:
     """Basal metabolic rate by sex and age span; kcal past 18 years is that times the activity level."""
-    cases = []
-    for code, above, up_to, slope, constant in ref.ADULT_BMR:
-        span = f"sex = {code} AND age > {above}" + (f" AND age <= {up_to}" if up_to is not None else "")
-        cases.append(f"WHEN {span} THEN {slope}D * meanw + {constant}D")
+    cases = [f"WHEN sex = {code} AND {span} THEN {slope}D * meanw + {constant}D" for code, span, slope, constant in ref.ADULT_BMR]
     return weights.withColumn("BMR", F.expr(f"CASE {' '.join(cases)} END")).withColumn(
         "TEE", if_else("age > 18", "BMR * PAL", "TEE")
     )

@@ -58,7 +58,7 @@ def intake_histogram(
     """Counts in equal bins of the quantity, one histogram per item, empty bins included.
 
     The first bin is centred on the smallest value and the last on the largest; bins are closed on the right. An item whose
-    values are all equal has one bin 0.1 wide. Missing and infinite values are left out. ``items`` restricts the items.
+    values are all equal has one bin 0.1 wide; a single bin reaches from the smallest value to the largest. Missing and infinite values are left out. ``items`` restricts the items.
     """
     rows = cons.select("item_code", F.col(quantity).cast("double").alias("x")).filter("abs(x) < double('Infinity')")
     if items is not None:
@@ -67,10 +67,12 @@ def intake_histogram(
     sized = spans.selectExpr(
         "item_code",
         "low",
-        f"CASE WHEN high = low THEN 0.1D ELSE (high - low) / {bins - 1} END AS width",
+        f"CASE WHEN high = low THEN 0.1D ELSE (high - low) / {max(bins - 1, 1)} END AS width",
         f"CASE WHEN high = low THEN 1 ELSE {bins} END AS n_bins",
+        "high = low AS equal",
     )
-    first_edge = "CASE WHEN n_bins = 1 THEN floor((low - 0.05D) / 0.1D) * 0.1D + 0.05D ELSE low - width / 2 END"
+    first_edge = f"""CASE WHEN equal THEN floor((low - 0.05D) / 0.1D) * 0.1D + 0.05D
+        WHEN {bins} = 1 THEN low ELSE low - width / 2 END"""
     grid = stage(sized.selectExpr("item_code", f"{first_edge} AS start", "width", "n_bins"), "histogram-grid")
     # The small shift keeps values that sit on a bin edge, up to rounding, in the lower bin.
     bin_no = F.expr("CAST(greatest(0, least(ceil((x - start) / width - 1e-8D) - 1, n_bins - 1)) AS INT)")

@@ -59,6 +59,7 @@ def assign_quintile(df: DataFrame, x: str, cuts: DataFrame, out: str, by: str |
     else:
         points = na_join(df, cuts.select(by, F.struct(*names).alias("__cuts")), by, null_keys=False)
     cases = " ".join(f"WHEN {x} < __cuts.{name} THEN {rank}" for rank, name in enumerate(names, start=1))
+    cases = f"WHEN isnan(double({x})) THEN NULL {cases}"
     return points.withColumn(out, F.expr(f"CASE {cases} WHEN {x} >= __cuts.q80 THEN 5 END")).drop("__cuts")
 
 

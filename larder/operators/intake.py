@@ -135,11 +135,11 @@ def full_item_totals(hh: DataFrame, cons: DataFrame, fct: DataFrame, by: list[st
 def food_group_mean_intake(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> DataFrame:
     """Mean household intake per equivalent by food group over all households with ``afe`` above zero.
 
-    Households that ate nothing of a group count as zero.
+    Households that ate nothing of a group count as zero; what other households ate does not count.
     """
     columns = [*CONSUMED, *nutrients_of(fct)]
     households = hh.agg(F.count_if(F.col("afe") > 0).alias("households"))
-    totals = full_item_totals(hh, cons, fct, ["food_group"]).withColumn("households", households.scalar())
+    totals = full_item_totals(hh.filter("afe > 0"), cons, fct, ["food_group"]).withColumn("households", households.scalar())
     return across(totals, columns, lambda c: safe_div(c, "households"))
 
 
@@ -150,7 +150,7 @@ def food_group_matrix(
     wide = (
         full_item_list(hh, cons, fct)
         .groupBy("hhid")
-        .agg(*[sum_or_zero(f"CASE WHEN food_group = '{g}' THEN {column} END").alias(g) for g in groups])
+        .agg(*[F.coalesce(F.sum(F.when(F.col("food_group") == F.lit(g), F.col(column))), F.lit(0.0)).alias(g) for g in groups])
     )
     rows = na_join(hh.select("hhid", "afe"), wide, "hhid", null_keys=False)
     return across(rows, groups, lambda c: F.expr(f"coalesce({c}, CASE WHEN afe > 0 THEN 0.0D END)"))

@@ -1,15 +1,16 @@
 """Exact order statistics of huge, skewed groups without sorting a large group in one task.
 
-Groups up to a bounded number of rows are sorted directly. The rows of larger groups are counted per (group, bucket), where
-the bucket is a fixed monotone function of the value, so the count combines on the map side and its result is small. A
-running total over the buckets tells in which bucket each wanted rank lies. Only rows of those buckets are looked at again; a
-bucket that still holds too many differing values is split further, and the last step orders the few values left.
-Nothing is sampled: the answers are exact for any distribution.
+Rows are stored once and counted per (group, bucket), where the bucket is a fixed monotone function of the value, so the count
+combines on the map side and its result is small. A running total over the buckets tells in which bucket each wanted rank
+lies. Only rows of those buckets are looked at again; a bucket that still holds too many differing values is split further, and
+the last step orders the few values left. All groups take these steps, whatever their size. Nothing is sampled: the answers
+are exact for any distribution. Weights are decimals, so no sum depends on the order of its rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,10 @@ from larder.sources.staging import stage
 
 BUCKETS_PER_OCTAVE = 64
 SPLITS = 1024
-LARGEST_GROUP = 1_000_000
+LARGEST_BUCKET = 1_000_000
+#: Weights and their sums; a sum has ten digits more, and room for a share of three places.
+WEIGHT, TOTAL, TARGET = "decimal(24,12)", "decimal(34,12)", "decimal(37,15)"
+HALF = Decimal("0.5")
 BEYOND_EVERY_BUCKET = 1 << 20
 
 
@@ -48,7 +52,7 @@ def _locate(counts: DataFrame, group: list[str], order: str, before: Column, wan
     running = Window.partitionBy(*group).orderBy(order)
     whole = Window.partitionBy(*group)
     return (
-        counts.withColumn("reached", before + F.sum("weight").over(running))
+        counts.withColumn("reached", (before + F.sum("weight").over(running)).cast(TOTAL))
         .withColumn("previous", F.coalesce(F.lag("reached").over(running), before))
         .withColumn("total", F.max("reached").over(whole))
         .withColumn("aim", F.explode(wanted(F.col("total"))))
@@ -62,66 +66,44 @@ def order_statistics(
     targets: dict[str, Callable[[Column], Column]],
     by: list[str] = (),
     weight: str | None = None,
-    largest_group: int = LARGEST_GROUP,
+    largest_bucket: int = LARGEST_BUCKET,
 ) -> DataFrame:
     """Per group and target the smallest value whose cumulative weight reaches ``target(total weight)``.
 
-    Rows without a value are left out; a value without a weight is an error. ``df`` is scanned once per step, so pass a
-    stored or staged table. No task orders more than ``largest_group`` rows of one group, unless they are equal. Returns
-    one row per group with a column per target.
+    Rows without a value are left out; a value without a weight is an error. ``target`` must keep to decimals. No task orders
+    more than ``largest_bucket`` rows of one group, unless they are equal. Returns one row per group with a column per target.
     """
     everyone = "__everyone"
     group = list(by) or [everyone]
-    w = F.lit(1.0)
+    w = F.lit(1)
     if weight is not None:
         w = F.expr(f"coalesce(double({weight}), double(raise_error('missing weight in {weight}')))")
     base = (
         df.withColumn(everyone, F.lit(0))
         .filter(~is_missing(f"double({x})"))
-        .select(*group, F.col(x).cast("double").alias("x"), w.alias("weight"))
-    )
-    large = _large_groups(base, group, largest_group)
-    if large.isEmpty():
-        return _sorted(base, group, targets).drop(everyone)
-    rest = _sorted(na_join(base, large, group, "left_anti"), group, targets)
-    split = _bucketed(na_join(base, large, group, "left_semi"), group, targets, largest_group)
-    return rest.unionByName(split).drop(everyone)
-
-
-def _large_groups(df: DataFrame, group: list[str], largest_group: int) -> DataFrame:
-    """Groups with more rows than one task should hold, stored."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return stage(sizes.filter(F.col("n") > largest_group).select(*group), "large-groups")
-
-
-def _sorted(base: DataFrame, group: list[str], targets: dict) -> DataFrame:
-    """Each group in one sort."""
-    rows = base.withColumn("reached", F.sum("weight").over(Window.partitionBy(*group).orderBy("x")))
-    rows = rows.withColumn("total", F.max("reached").over(Window.partitionBy(*group)))
-    reached = F.col("reached")
-    return rows.groupBy(*group).agg(
-        *[F.min(F.when(reached >= target(F.col("total")), F.col("x"))).alias(name) for name, target in targets.items()]
+        .select(*group, F.col(x).cast("double").alias("x"), w.cast(WEIGHT).alias("weight"))
     )
+    return _bucketed(stage(base, "quantile-rows"), group, targets, largest_bucket).drop(everyone)
 
 
 def _bucketed(base: DataFrame, group: list[str], targets: dict, largest_bucket: int) -> DataFrame:
     """Each group by counting buckets, then ordering the buckets that matter."""
     base = base.withColumn("bucket", _bucket("x"))
     measures = [
-        F.sum("weight").alias("weight"),
+        F.sum("weight").cast(TOTAL).alias("weight"),
         F.min("x").alias("low"),
         F.max("x").alias("high"),
         F.count(F.lit(1)).alias("n"),
     ]
 
     def wanted(total: Column) -> Column:
-        pairs = [F.struct(F.lit(k).alias("name"), fn(total).cast("double").alias("target")) for k, fn in targets.items()]
+        pairs = [F.struct(F.lit(k).alias("name"), fn(total).cast(TARGET).alias("target")) for k, fn in targets.items()]
         return F.array(*pairs)
 
     keys = [*group, "bucket", "name", "target"]
     first = base.groupBy(*group, "bucket").agg(*measures)
     spot = stage(
-        _locate(first, group, "bucket", F.lit(0.0), wanted).select(
+        _locate(first, group, "bucket", F.lit(0).cast(TOTAL), wanted).select(
             *group, "bucket", "aim.name", "aim.target", F.col("previous").alias("before"), "low", "high", "n"
         ),
         "quantile-buckets",
@@ -146,9 +128,9 @@ def _bucketed(base: DataFrame, group: list[str], targets: dict, largest_bucket:
             "quantile-parts",
         )
 
-    values = candidates(spot).groupBy(*keys, "before", "x").agg(F.sum("weight").alias("weight"))
+    values = candidates(spot).groupBy(*keys, "before", "x").agg(F.sum("weight").cast(TOTAL).alias("weight"))
     order = Window.partitionBy(*group, "name").orderBy("x")
-    reached = values.withColumn("reached", F.col("before") + F.sum("weight").over(order))
+    reached = values.withColumn("reached", (F.col("before") + F.sum("weight").over(order)).cast(TOTAL))
     hits = reached.filter(F.col("reached") >= F.col("target"))
     return hits.groupBy(*group).agg(
         *[F.min(F.when(F.col("name") == k, F.col("x"))).alias(k) for k in targets]
@@ -167,41 +149,30 @@ def weighted_quantile(
 
     Columns are named q20, q40, ... With ``by`` there is a row per non-NULL group, all from one set of passes.
     """
-    targets = {f"q{round(p * 100):02d}": (lambda total, p=p: total * p) for p in probs}
+    targets = {f"q{round(p * 100):02d}": (lambda total, p=Decimal(str(p)): total * F.lit(p)) for p in probs}
     if by is not None:
         df = df.filter(F.col(by).isNotNull())
     return order_statistics(df, x, targets, [by] if by else [], weight, **options)
 
 
 def group_median(
-    df: DataFrame, key: list[str], columns: list[str], largest_group: int = LARGEST_GROUP
+    df: DataFrame, key: list[str], columns: list[str], largest_bucket: int = LARGEST_BUCKET
 ) -> DataFrame:
     """Exact median of each column per group (mean of the two middle values), all columns in the same passes.
 
-    Groups of bounded size use Spark's own median, larger ones the counting steps. A group without any value has no row.
+    A group without any value has no row; the mean of -Infinity and Infinity is NULL.
     """
-    values = df.select(*key, *[nan_to_null(f"double({c})").alias(c) for c in columns])
-    known = F.coalesce(*columns).isNotNull()
-
-    def direct(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*key).agg(*[F.median(c).alias(c) for c in columns]).filter(known)
-
-    large = _large_groups(values, key, largest_group)
-    if large.isEmpty():
-        return direct(values)
-    cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("x")) for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("variable"), nan_to_null(f"double({c})").alias("x")) for c in columns])
     melted = (
-        na_join(values, large, key, "left_semi")
-        .select(*key, F.explode(cells).alias("cell"))
-        .select(*key, "cell.*", F.lit(1.0).alias("weight"))
+        df.select(*key, F.explode(cells).alias("cell"))
+        .select(*key, "cell.*", F.lit(1).cast(WEIGHT).alias("weight"))
         .filter(F.col("x").isNotNull())
     )
-    middles = {"lower": lambda total: total * 0.5, "upper": lambda total: total * 0.5 + 0.5}
-    found = _bucketed(melted, [*key, "variable"], middles, largest_group)
-    middle = F.expr("CASE WHEN lower = upper THEN lower ELSE (lower + upper) / 2 END")
-    split = (
+    middles = {"lower": lambda total: total * F.lit(HALF), "upper": lambda total: total * F.lit(HALF) + F.lit(HALF)}
+    found = _bucketed(stage(melted, "median-rows"), [*key, "variable"], middles, largest_bucket)
+    middle = F.expr("CASE WHEN lower = upper THEN lower ELSE nanvl((lower + upper) / 2, NULL) END")
+    return (
         found.withColumn("median", middle)
         .groupBy(*key)
         .agg(*[F.max(F.when(F.col("variable") == c, F.col("median"))).alias(c) for c in columns])
     )
-    return direct(na_join(values, large, key, "left_anti")).unionByName(split)

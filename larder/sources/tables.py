@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.functions.missing import to_number
+from larder.functions.missing import nan_to_null, to_integer, to_number
 from larder.functions.reference import COMPOSITION_COLUMNS
 
 _TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
@@ -31,10 +31,6 @@ FCT_SCHEMA = schema_of(
 )
 
 
-# Scans with fewer tasks than this (about 4 GB at the default split size) may be spread.
-SMALL_SCAN_TASKS = 32
-
-
 class Survey(NamedTuple):
     """The three tables of one named survey."""
 
@@ -46,14 +42,16 @@ class Survey(NamedTuple):
 def read_csv_na(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header; ``NA``, blank and quoted-blank fields are NULL.
 
-    Columns are matched by header name, so the file may hold more columns and in any order. Text that does not parse as the
-    declared type, and NaN, become NULL.
+    Columns are matched by header name, so a file may hold more columns and in any order; the files of one folder must have
+    one header, or the read fails. Text that does not parse as the declared type, and NaN, become NULL.
     """
-    raw = spark.read.options(header=True, nullValue="NA", emptyValue="NA").csv(path)
+    raw = spark.read.options(header=True, nullValue="NA", emptyValue="NA", enforceSchema=False).csv(path)
 
     def typed(field: T.StructField):
         if field.dataType == T.DoubleType():
             return to_number(field.name).alias(field.name)
+        if field.dataType in (T.IntegerType(), T.LongType()):
+            return to_integer(field.name, field.dataType.simpleString()).alias(field.name)
         return F.col(field.name).try_cast(field.dataType).alias(field.name)
 
     return raw.select(*[typed(f) for f in schema.fields])
@@ -67,13 +65,8 @@ def write_csv_na(df: DataFrame, path: str) -> None:
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     if fmt == "csv":
         return read_csv_na(spark, path, schema)
-    return spark.read.format(fmt).schema(schema).load(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small scan over the session's cores; a scan that already gives many tasks stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, SMALL_SCAN_TASKS) else df
+    df = spark.read.format(fmt).schema(schema).load(path)
+    return df.withColumns({f.name: nan_to_null(f.name) for f in schema.fields if f.dataType == T.DoubleType()})
 
 
 def household_data(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> DataFrame:
@@ -112,8 +105,8 @@ def append_partitioned(df: DataFrame, path: str, partition_by=("iso3", "survey")
         writer.mode("append").parquet(path)
 
 
-def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16) -> None:
-    """Append to a database table over at most ``connections`` parallel connections.
+def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int) -> None:
+    """Append to a database table over at most ``connections`` parallel connections, as many as the database bears.
 
     The rows are repartitioned rather than coalesced, so the steps before the write keep their parallelism.
     """

@@ -36,7 +36,7 @@ def values(rows, key):
 def test_group_median_is_exact_for_any_distribution(spark, largest):
     rows = groups(largest)
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r.k: r.v for r in quantiles.group_median(df, ["k"], ["v"], largest_group=largest).collect()}
+    got = {r.k: r.v for r in quantiles.group_median(df, ["k"], ["v"], largest_bucket=largest).collect()}
     keys = {k for k, _ in rows} - {"empty"}
     assert got.keys() == keys
     for key in keys:
@@ -56,10 +56,10 @@ def test_weighted_quantile_takes_the_first_value_that_reaches_the_share(spark, l
             if reached >= p * total:
                 return v
 
-    overall = quantiles.weighted_quantile(df, "v", "w", largest_group=largest).collect()
+    overall = quantiles.weighted_quantile(df, "v", "w", largest_bucket=largest).collect()
     assert len(overall) == 1
     assert list(overall[0]) == [expected(rows, p) for p in (0.2, 0.4, 0.6, 0.8)]
-    for r in quantiles.weighted_quantile(df, "v", "w", by="g", largest_group=largest).collect():
+    for r in quantiles.weighted_quantile(df, "v", "w", by="g", largest_bucket=largest).collect():
         part = [row for row in rows if row[0] == r.g]
         assert [r.q20, r.q40, r.q60, r.q80] == [expected(part, p) for p in (0.2, 0.4, 0.6, 0.8)]
 
@@ -96,3 +96,34 @@ def test_quintiles_of_distinct_weights_hold_a_fifth_each(spark):
     shares = assign_quintile(df, "v", cuts, "out").groupBy("out").agg(F.sum("w").alias("w")).collect()
     assert len(shares) == 5
     assert all(abs(r.w - 400) <= 2 for r in shares)
+
+
+def test_cut_points_do_not_depend_on_the_order_of_sums(spark):
+    """Weights that binary fractions can't hold, and values on the very share: any partitioning and bucket size agrees."""
+    rng = random.Random(11)
+    rows = [(i % 300, rng.randrange(60), rng.choice([0.1, 0.2, 0.3, 0.7, 1.1])) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g int, v int, w double")
+    first = None
+    for parts, largest in ((1, 10**6), (3, 1), (17, 5)):
+        got = sorted(quantiles.weighted_quantile(df.repartition(parts), "v", "w", by="g", largest_bucket=largest).collect())
+        assert first is None or got == first
+        first = got
+    for r in first[:40]:
+        part = sorted((v, round(w * 10)) for g, v, w in rows if g == r.g)
+        total, reached, at = sum(w for _, w in part), 0, None
+        for v, w in part:
+            reached += w
+            if at is None and 10 * reached >= 8 * total:
+                at = v
+        assert r.q80 == at
+
+
+def test_no_row_set_meets_in_one_task(spark):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"), F.lit(0.3).alias("w"))
+    plan = quantiles.weighted_quantile(df, "v", "w")._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_median_of_both_infinities_is_missing(spark):
+    df = spark.createDataFrame([("a", -INF), ("a", INF), ("b", 1.0)], "k string, v double")
+    assert {r.k: r.v for r in quantiles.group_median(df, ["k"], ["v"]).collect()} == {"a": None, "b": 1.0}

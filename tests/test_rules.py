@@ -183,8 +183,45 @@ def test_staged_tables_can_be_dropped(spark, tmp_path):
         open(path)
 
 
-def test_a_large_scan_is_not_spread(spark):
-    many = spark.range(0, 1000, 1, 40).toDF("x")
-    few = spark.range(0, 1000, 1, 2).toDF("x")
-    assert tables.spread(many).rdd.getNumPartitions() == 40
-    assert tables.spread(few).rdd.getNumPartitions() == 8
+def test_integers_written_as_numbers_are_read(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("item_code,quantity\n3.0,1\n1e5,2\n3.5,3\nNA,4\n7,NaN\n")
+    got = tables.read_csv_na(spark, str(tmp_path), tables.schema_of(item_code="bigint", quantity="double")).collect()
+    assert [tuple(r) for r in got] == [(3, 1.0), (100000, 2.0), (None, 3.0), (None, 4.0), (7, None)]
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("item_code,quantity\n1,20\n")
+    (tmp_path / "b.csv").write_text("quantity,item_code\n20,1\n")
+    with pytest.raises(Exception, match="header"):
+        tables.read_csv_na(spark, str(tmp_path), tables.schema_of(item_code="bigint", quantity="double")).collect()
+
+
+def test_nan_is_missing_wherever_it_comes_from(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, float("nan"))], "hhid string, item_code long, quantity_100g double")
+    df.selectExpr("*", "'x' AS food_group", "quantity_100g AS quantity_g").write.parquet(str(tmp_path / "t"))
+    row = tables.read_table(spark, str(tmp_path / "t"), tables.FOOD_CONSUMPTION_SCHEMA).first()
+    assert row.quantity_g is None and row.quantity_100g is None
+    from larder.functions.missing import log10_ieee
+    from larder.operators import cleaning, household
+
+    assert df.select(log10_ieee("quantity_100g")).first()[0] is None
+    cuts = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0)], "q20 double, q40 double, q60 double, q80 double")
+    assert household.assign_quintile(df, "quantity_100g", cuts, "fifth").first().fifth is None
+    rows = [(1, 10.0 + i % 3) for i in range(40)] + [(1, 1e9), (1, float("nan"))]
+    kept = cleaning.outlier_log_sd(spark.createDataFrame(rows, "item_code long, q double"), "item_code", "q").collect()
+    assert 1e9 not in [r.q for r in kept]
+
+
+def test_adult_energy_changes_at_sixty(spark):
+    from larder.operators import energy
+
+    rows = spark.createDataFrame([(1, a, 65.0, 1.0, None) for a in (30.0, 59.5, 60.0)], "sex int, age double, meanw double, PAL double, TEE double")
+    got = {r.age: r.BMR for r in energy.adult_tee(rows).collect()}
+    assert got == pytest.approx({30.0: 1670.905, 59.5: 1618.78, 60.0: 1348.915})
+
+
+def test_a_single_histogram_bin(spark):
+    from larder.operators import explore
+
+    df = spark.createDataFrame([(1, float(v)) for v in (1, 2, 5)], "item_code long, quantity_g double")
+    assert [tuple(r) for r in explore.intake_histogram(df, bins=1).collect()] == [(1, 0, 1.0, 5.0, 3)]

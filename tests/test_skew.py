@@ -47,7 +47,7 @@ def test_hot_groups_give_the_same_results_on_every_path(spark, skewed):
     for threshold in ("10MB", "-1"):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         try:
-            split = results(largest_group=50)
+            split = results(largest_bucket=50)
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert split[0] == pytest.approx(plain[0]) and split[1:] == (plain[1], pytest.approx(plain[2]))
@@ -60,7 +60,7 @@ def test_imputed_values_are_the_medians_of_the_items(skewed):
     for r in cons.collect():
         if r.quantity_g is not None:
             unit[r.item_code].append(r.quantity_g / afe[r.hhid])
-    clean = chains.clean_consumption(cons, hh, k=1e9, largest_group=50).collect()
+    clean = chains.clean_consumption(cons, hh, k=1e9, largest_bucket=50).collect()
     assert len(clean) == cons.count()
     filled = defaultdict(set)
     known = {(r.hhid, r.item_code, round(r.quantity_g, 6)) for r in cons.collect() if r.quantity_g is not None}

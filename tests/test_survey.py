@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections import defaultdict
 
 import pytest
@@ -167,9 +168,10 @@ def test_food_group_means_and_matrix_count_the_zeros(spark):
     hh, cons, fct = survey_tables(spark)
     totals = defaultdict(float)
     per_household = defaultdict(float)
-    for h, _, _, g, q, _, _ in full_grid():
-        totals[g] += q or 0.0
+    for h, afe, _, g, q, _, _ in full_grid():
+        totals[g] += (q or 0.0) if afe is not None and afe > 0 else 0.0
         per_household[h, g] += q or 0.0
+    assert all(math.isfinite(q) for q in totals.values())
     means = {r.food_group: r for r in intake.food_group_mean_intake(hh, cons, fct).collect()}
     assert set(means) == set(totals)
     for group, r in means.items():

@@ -19,7 +19,6 @@ from larder.operators import composition, household
 from larder.operators.joins import na_join
 from larder.plans import chains
 from larder.sources.staging import stage
-from larder.sources.tables import spread
 
 # Columns used of the base tables.
 BASE_TABLES = {
@@ -148,7 +147,7 @@ class Tables:
         if name not in self._tables:
             if name in BASE_TABLES:
                 scan = self.spark.read.schema(BASE_TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
-                self._tables[name] = spread(scan) if name == "lineitem" else scan
+                self._tables[name] = scan
             else:
                 body = BODIES[name]
                 self._tables[name] = self.spark.sql(body, **{ref: self.table(ref) for ref in references(body)})

@@ -222,7 +222,7 @@ def full_item_totals(t: Tables):
 
 
 @query(f"""SELECT food_group, (SELECT count(*) FROM st_hh WHERE afe > 0) AS households,
-    {', '.join(rnd(f'coalesce(sum({n}), 0) / (SELECT count(*) FROM st_hh WHERE afe > 0)', 4, n) for n in [*QUANTITIES, *NUTRIENTS])}
+    {', '.join(rnd(f'coalesce(sum({n}) FILTER (WHERE afe > 0), 0) / (SELECT count(*) FROM st_hh WHERE afe > 0)', 4, n) for n in [*QUANTITIES, *NUTRIENTS])}
     FROM st_grid GROUP BY food_group""")
 def food_group_mean_intake(t: Tables):
     return rounded(intake.food_group_mean_intake(t.hh, t.cons, t.fct))
@@ -230,7 +230,7 @@ def food_group_mean_intake(t: Tables):
 
 GROUPS = [
     "grains_roots_tubers", "nuts_seeds", "dairy", "meat_poultry_fish", "eggs", "green_leafy_veg", "vita_fruit_veg", "other_veg",
-    "other_fruit", "misc",
+    "other_fruit", "misc", "Condiments",
 ]
 
 

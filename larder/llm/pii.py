@@ -110,7 +110,7 @@ def surroundings(text: str, found: list[list[tuple[int, int]]]) -> list[dict]:
                         terms.append((m[0].lower(), x, y))
             context = number(" ".join(t for t, _, _ in terms))
             entity = number(f"{kind}:{value}")
-            rows += [{"entity": entity, "context": context, "term": t, "bit": number(t) % BITS, "start": x, "end": y} for t, x, y in terms]
+            rows += [{"entity": entity, "context": context, "term": t, "bit": 1 + number(t) % BITS, "start": x, "end": y} for t, x, y in terms]
     return rows
 
 
@@ -174,7 +174,7 @@ def disclosing(rows: DataFrame, found: DataFrame) -> DataFrame | None:
     parts = candidates.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
     if not parts:
         return None
-    bitmap = bytearray(BITS // 8 + 4096)  # bit b is bit b % 8 of byte b // 8; buckets count from 1 and hold 4096 bytes
+    bitmap = bytearray(BITS // 8 + 4096)  # numbers and buckets count from 1; a bucket holds 4096 bytes
     for part in parts:
         at = max(part.part - 1, 0) * 4096
         bitmap[at : at + 4096] = bytes(x | y for x, y in zip(bitmap[at : at + 4096], part.bits, strict=True))

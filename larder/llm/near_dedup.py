@@ -10,7 +10,7 @@ adapts: a document's candidates are its ``NEAR`` neighbours, those with the long
 
 Neighbours alone would leave out a link of a large region, say of one text and its thousand copies with different edits. So large
 regions are taken up again: every document of another component is a candidate of the region's hub, the one with the most
-links, and this is repeated with further hubs until a round finds no link. No region is ever paired with itself.
+neighbours that look alike enough, and this goes on with further hubs until they find no link. No region is paired with itself.
 
 Candidates are links only after an exact check on the full sets.
 
@@ -36,10 +36,15 @@ THRESHOLD = 80  # per cent
 ORDERS, ROOT, DEPTH = 24, 4, 10
 SIZE = ORDERS * ROOT
 SMALL, NEAR = 12, 3
+#: Bytes of text that a task hashes at once.
+BLOCK = 1_000_000
 #: Candidates whose signatures agree in a smaller share are not checked: at 0.8 that is over five standard deviations away.
 LEAST_AGREEMENT = 0.58
+#: So many hubs of a region are tried at least, one in each turn.
+LEAST_TURNS = 3
 SEEDS = mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64))
 FACTORS = (SEEDS[:SIZE] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+ROUND = np.uint32(0x2C1B3C6D)
 TERMS = (SEEDS[SIZE:] >> np.uint64(32)).astype(np.uint32)
 
 
@@ -47,7 +52,15 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """One row of ``SIZE`` minima per set, none of them empty."""
     values = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.append(0, np.cumsum([len(s) for s in sets])[:-1])
-    return np.stack([np.minimum.reduceat(values * a + b, starts) for a, b in zip(FACTORS, TERMS, strict=True)], axis=1)
+
+    def lowest(a: np.uint32, b: np.uint32) -> np.ndarray:
+        """Two rounds: with one multiplication alone the orders would depend on each other."""
+        x = (values ^ b) * a
+        x ^= x >> np.uint32(15)
+        x *= ROUND
+        return np.minimum.reduceat(x, starts)
+
+    return np.stack([lowest(a, b) for a, b in zip(FACTORS, TERMS, strict=True)], axis=1)
 
 
 def sketch(shingle: int):
@@ -56,10 +69,10 @@ def sketch(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            texts = [(t or b"").lower() for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
             ids = batch.column("doc_id").to_pylist()
-            for a, b in blocks(texts):
-                sets = Windows(texts[a:b], powers).sets(shingle)
+            for a, b in blocks(texts, BLOCK):
+                sets = Windows([(t or b"").lower() for t in texts[a:b]], powers).sets(shingle)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 rows = dict(zip(full, signatures([sets[i] for i in full]), strict=True)) if full else {}
                 yield pa.RecordBatch.from_pydict({
@@ -95,21 +108,23 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps the pairs whose signatures agree often enough."""
+    """Keeps the pairs whose signatures agree often enough, with the share that agrees."""
     for batch in batches:
         if batch.num_rows:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, SIZE) for c in ("x", "y"))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= LEAST_AGREEMENT))
+            share = (x == y).mean(axis=1)
+            batch = batch.select(["a", "b"]).append_column("share", pa.array(share))
+            yield batch.filter(pa.array(share >= LEAST_AGREEMENT))
 
 
 def full_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            texts = [(t or b"").lower() for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
             ids = batch.column("id").to_pylist()
-            for a, b in blocks(texts):
-                sets = [s.tobytes() for s in Windows(texts[a:b], powers).sets(shingle)]
+            for a, b in blocks(texts, BLOCK):
+                sets = [s.tobytes() for s in Windows([(t or b"").lower() for t in texts[a:b]], powers).sets(shingle)]
                 yield pa.RecordBatch.from_pydict({"id": pa.array(ids[a:b], pa.int64()), "set": pa.array(sets, pa.binary())})
 
     return run
@@ -157,46 +172,60 @@ def link(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
     sides = [nodes.select(F.col("id").alias(i), F.col("signature").alias(s)) for i, s in (("a", "x"), ("b", "y"))]
 
     def likely(pairs: DataFrame) -> DataFrame:
-        return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y").mapInArrow(agreement, "a bigint, b bigint")
+        joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y")
+        return joined.mapInArrow(agreement, "a bigint, b bigint, share double")
+
+    candidates = stage(likely(near), "candidates")
+    root = F.xxhash64("t", F.substring(doubled, F.col("t") * 4 * ROOT + 1, F.lit(4 * ROOT)))
+    regions = nodes.withColumn("t", order).select("id", root.alias("region"))
+    large = stage(regions.groupBy("region").count().filter(F.col("count") > SMALL).select("region"), "large-regions")
+    members = stage(regions.join(large, "region"), "members")
+
+    # the full sets of all documents that can be in a pair, from one pass over the texts
+    wanted = candidates.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct()
+    texts = rows.withColumnRenamed("doc_id", "id").join(stage(wanted, "wanted"), "id", "left_semi")
+    sets = stage(texts.mapInArrow(full_sets(shingle), "id bigint, set binary"), "sets")
+    full = [sets.select(F.col("id").alias(i), F.col("set").alias(s)) for i, s in (("a", "x"), ("b", "y"))]
 
     def check(pairs: DataFrame) -> DataFrame:
-        """The links among the pairs, found on the full sets of the documents in them."""
-        wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
-        texts = rows.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
-        sets = stage(texts.mapInArrow(full_sets(shingle), "id bigint, set binary"), "sets")
-        xs, ys = (sets.select(F.col("id").alias(i), F.col("set").alias(s)) for i, s in (("a", "x"), ("b", "y")))
-        joined = pairs.join(xs, "a").join(ys, "b").select("a", "b", "x", "y")
+        joined = pairs.join(full[0], "a").join(full[1], "b").select("a", "b", "x", "y")
         return stage(joined.mapInArrow(confirmed(threshold), "a bigint, b bigint").distinct(), "links")
 
-    links = check(stage(likely(near), "candidates"))
+    def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+        """The pairs that are not in one component yet."""
+        for end in ("a", "b"):
+            pairs = pairs.join(joined.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in")), end, "left")
+        return pairs.filter(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
+
+    # each document's likeliest pairs first; of the others only those can matter that these don't connect
+    best = [candidates.groupBy(e).agg(F.max_by(o, F.struct("share", o)).alias(o)).select("a", "b") for e, o in (("a", "b"), ("b", "a"))]
+    links = check(best[0].unionByName(best[1]).distinct())
+    joined = stage(components(links), "components")
+    links = stage(links.unionByName(check(apart(candidates, joined))).distinct(), "all-links")
     joined = stage(components(links), "components")
 
-    # large regions: every document against the hubs
-    root = F.xxhash64("t", F.substring(doubled, F.col("t") * 4 * ROOT + 1, F.lit(4 * ROOT)))
-    regions = nodes.withColumn("t", order).select("id", root.alias("region"))
-    large = stage(regions.groupBy("region").count().filter(F.col("count") > SMALL).select("region"), "large-regions")
-    members = stage(regions.join(large, "region"), "members")
-    tried = None
+    # large regions: every document against the hubs, until the hubs tell nothing new
+    near_enough = candidates.filter(F.col("share") >= threshold / 100).select(F.explode(F.array("a", "b")).alias("id"))
+    degrees = stage(near_enough.groupBy("id").agg(F.count("*").alias("degree")), "degrees")
+    members = stage(members.join(degrees, "id", "left").select("region", "id", F.coalesce("degree", F.lit(0)).alias("degree")), "members")
+    turn = 0
     while members.limit(1).count():
-        ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
         placed = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        if tried is not None:
-            placed = placed.join(tried, ["region", "component"], "left_anti")
-        hubs = (
-            placed.join(ends, "id", "left")
-            .groupBy("region")
-            .agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("d"), F.col("id"), F.col("component"))).alias("hub"))
-            .select("region", F.col("hub.id").alias("hub"), F.col("hub.component").alias("of"))
-        )
-        hubs = stage(hubs, "hubs")
+        hub = F.max(F.struct("degree", "id", "component")).alias("hub")
+        hubs = stage(placed.groupBy("region").agg(hub).select("region", F.col("hub.id").alias("hub"), F.col("hub.component").alias("of")), "hubs")
         pairs = placed.join(hubs, "region").filter("component <> of").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
         new = check(stage(likely(pairs.distinct()), "hub-candidates"))
-        if new.limit(1).count() == 0:
+        if new.limit(1).count():
+            links = stage(links.unionByName(new.select("a", "b")), "all-links")
+            joined = stage(components(links), "components")
+        elif turn >= LEAST_TURNS:
             break
-        links = stage(links.unionByName(new), "all-links")
-        joined = stage(components(links), "components")
-        done = hubs.join(joined.withColumnRenamed("id", "hub"), "hub", "left").select("region", F.coalesce("component", "of").alias("component"))
-        tried = stage(done if tried is None else tried.unionByName(done).distinct(), "tried")
+        # go on with other hubs where documents of a region are linked at all, but not all of them
+        placed = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        sizes = placed.groupBy("region", "component").agg(F.count("*").alias("n"))
+        open_ = sizes.groupBy("region").agg(F.max("n").alias("most"), F.sum("n").alias("all")).filter("most > 1 and most < all").select("region")
+        left = members.join(open_, "region").join(hubs.select("region", F.col("hub").alias("id")), ["region", "id"], "left_anti")
+        members, turn = stage(left.select("region", "id", "degree"), "members"), turn + 1
 
     labels = joined.withColumnRenamed("id", "first").withColumnRenamed("component", "label")
     out = sketches.select("doc_id", "n_shingles", "print").join(copies, "print", "left")

@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -116,7 +116,7 @@ def surroundings(text: str, found: list[list[tuple[int, int]]]) -> list[dict]:
 
 NEAR_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string()), ("bit", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
 FOUND_SCHEMA = (
-    "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, base_sha256 string, "
+    "doc_id bigint, digest binary, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, base_sha256 string, "
     "near array<struct<entity bigint, context bigint, term string, bit bigint, start bigint, end bigint>>"
 )
 
@@ -134,7 +134,7 @@ def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(hashlib.sha256(listed.encode()).hexdigest())
             near.append(surroundings(text, found) if listed else [])
         yield pa.RecordBatch.from_pydict(
-            {"doc_id": batch.column("doc_id")}
+            {"doc_id": batch.column("doc_id"), "digest": batch.column("digest")}
             | {f"n_{kind}": pa.array(column, pa.int64()) for kind, column in zip(KINDS, counts, strict=True)}
             | {"base": pa.array(base, pa.string()), "base_sha256": pa.array(digests, pa.string()), "near": pa.array(near, NEAR_TYPE)}
         )
@@ -189,28 +189,37 @@ def disclosing(rows: DataFrame, found: DataFrame) -> DataFrame | None:
     return known.select("entity", "term", share.alias("share")).filter(F.col("share") >= GENERALISE)
 
 
-def detect(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, terms.
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
-    ``docs`` has doc_id and text; other columns don't matter. ``spans`` lists kind:start:end of all finds, identifiers by kind,
-    then terms (kind ``term``) by start; places are code points, ends exclusive. ``terms`` holds (start, end, remove) of the terms.
-    A null or empty text has no finds. Rows of one doc_id share their terms. An empty table gives an empty result.
-    """
-    rows = with_rows(docs).select(F.col("row")["doc_id"].cast("bigint").alias("doc_id"), F.col("row")["text"].alias("text"))
+
+def found_in(docs: DataFrame) -> DataFrame:
+    """``detect``, and the digest of each text."""
+    rows = with_rows(docs).select(F.col("row")["doc_id"].cast("bigint").alias("doc_id"), F.col("row")["text"].alias("text"), digest_of(F.col("row")["text"]).alias("digest"))
     found = stage(rows.mapInArrow(find, FOUND_SCHEMA), "identifiers")
     pairs = disclosing(rows, found)
     none = F.array().cast("array<struct<start:bigint,end:bigint,remove:boolean>>")
     if pairs is None:
         marked = found.withColumn("terms", none)
     else:
-        near = found.select("doc_id", F.explode("near").alias("n")).select("doc_id", "n.*")
-        marks = near.join(pairs, ["entity", "term"]).groupBy("doc_id", "start", "end").agg(F.max("share").alias("share"))
+        near = found.select("digest", F.explode("near").alias("n")).select("digest", "n.*")
+        marks = near.join(pairs, ["entity", "term"]).groupBy("digest", "start", "end").agg(F.max("share").alias("share"))
         mark = F.struct("start", "end", (F.col("share") >= REMOVE).alias("remove"))
-        marks = marks.groupBy(F.col("doc_id").alias("of")).agg(F.sort_array(F.collect_list(mark)).alias("terms"))
-        marked = found.join(marks, F.col("doc_id").eqNullSafe(F.col("of")), "left").withColumn("terms", F.coalesce("terms", none))
+        marks = marks.groupBy("digest").agg(F.sort_array(F.collect_list(mark)).alias("terms"))
+        marked = found.join(marks, "digest", "left").withColumn("terms", F.coalesce("terms", none))
     listed = F.transform("terms", lambda t: F.format_string("term:%d:%d", t["start"], t["end"]))
     spans = F.array_join(F.filter(F.concat(F.array("base"), listed), lambda s: s != ""), ",")
-    return marked.select("doc_id", *[f"n_{kind}" for kind in KINDS], "base_sha256", spans.alias("spans"), "terms")
+    return marked.select("doc_id", "digest", *[f"n_{kind}" for kind in KINDS], "base_sha256", spans.alias("spans"), "terms")
+
+
+def detect(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, terms.
+
+    ``docs`` has doc_id and text; other columns don't matter. ``spans`` lists kind:start:end of all finds, identifiers by kind,
+    then terms (kind ``term``) by start; places are code points, ends exclusive. ``terms`` holds (start, end, remove) of the terms.
+    A null or empty text has no finds. An empty table gives an empty result.
+    """
+    return found_in(docs).drop("digest")
 
 
 @F.pandas_udf(StringType())
@@ -234,9 +243,9 @@ def redacted(text: pd.Series, spans: pd.Series, terms: pd.Series) -> pd.Series:
 
 def sanitize(docs: DataFrame) -> DataFrame:
     """``docs`` with the finds in ``text`` replaced or removed; rows and columns stay as they are."""
-    finds = detect(docs).filter("spans <> ''").dropDuplicates(["doc_id"])
-    finds = stage(finds.select(F.col("doc_id").alias("of"), "spans", "terms"), "finds")
-    rows = with_rows(docs)
-    joined = rows.join(finds, rows["row"]["doc_id"].eqNullSafe(finds["of"]), "left")
+    finds = found_in(docs).filter("spans <> ''").dropDuplicates(["digest"])  # rows of one digest are equal
+    finds = stage(finds.select("digest", "spans", "terms"), "finds")
+    rows = with_rows(docs).withColumn("digest", digest_of(F.col("row")["text"]))
+    joined = rows.join(finds, "digest", "left")
     text = F.when(F.col("spans").isNotNull(), redacted(F.col("row")["text"], "spans", "terms")).otherwise(F.col("row")["text"])
     return joined.select(F.col("row").withField("text", text).alias("row")).select("row.*")

@@ -5,8 +5,10 @@ it even where the entity itself is gone. How much, the corpus tells: with ``p``
 ``e`` carries is ``IC(e) = -log2 p(e)``, and a term ``t`` gives away ``PMI(e, t) = log2 p(e, t) / (p(e) p(t))`` of it. Terms with
 ``PMI / IC`` from ``GENERALISE`` on are replaced by a placeholder, from ``REMOVE`` on they are removed.
 
-A term counts as evidence only if it stands near the entity in ``CONTEXTS`` different surroundings. Copies of one document have
-the same surroundings, so their rare words are left alone.
+A document is a row, and a term and an entity are together where one document holds both. A pair counts as evidence only if ``TEXTS``
+different texts hold it: copies of one text are one, so their rare words are left alone. A disclosing term goes wherever it stands
+in the documents that hold its entity. What is found depends on a text and the corpus alone, so rows are told apart by a digest of their
+text, not by doc_id, which can be null or repeated.
 
 Document frequencies of the candidate terms are counted over all documents. A bitmap of fixed size, in which each candidate sets
 one bit, lets the tasks pass over the words that can't be candidates; further terms on the same bit are counted in vain, no more.
@@ -16,8 +18,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -38,9 +42,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NOT_DIGITS = {c: None for c in range(128) if not chr(c).isdigit()}
 
-#: Words on each side of an entity that are looked at, and the characters they are looked for in.
-NEAR, REACH = 6, 160
-CONTEXTS = 3
+#: So many different texts must hold both an entity and a term.
+TEXTS = 2
 GENERALISE, REMOVE = 0.8, 0.95
 BITS = 1 << 22
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -89,41 +92,41 @@ def term_of(word: str) -> str | None:
     return m[0].lower() if m else None
 
 
-def surroundings(text: str, found: list[list[tuple[int, int]]]) -> list[dict]:
-    """The terms near each entity, with their places; what lies in an entity is no term."""
-    taken = sorted(span for spans in found for span in spans)
-    starts = [a for a, _ in taken]
-    latest = np.maximum.accumulate([b for _, b in taken]) if taken else []
-    rows = []
+def entities(text: str, found: list[list[tuple[int, int]]]) -> list[int]:
+    """The different protected entities of a text, as numbers."""
+    values = set()
     for kind, spans in zip(KINDS, found, strict=True):
         for a, b in spans:
             value = text[a:b].lower() if kind == "email" else text[a:b] if kind == "ip" else text[a:b].translate(NOT_DIGITS)
-            low, high = max(0, a - REACH), min(len(text), b + REACH)
-            before = [(m.start() + low, m[0]) for m in WORD.finditer(text[low:a]) if m.start() or not low][-NEAR:]
-            after = [(m.start() + b, m[0]) for m in WORD.finditer(text[b:high]) if b + m.end() < high or high == len(text)][:NEAR]
-            terms = []
-            for at, word in before + after:
-                if m := CORE.search(word):
-                    x, y = at + m.start(), at + m.end()
-                    i = int(np.searchsorted(starts, y)) - 1
-                    if i < 0 or latest[i] <= x:
-                        terms.append((m[0].lower(), x, y))
-            context = number(" ".join(t for t, _, _ in terms))
-            entity = number(f"{kind}:{value}")
-            rows += [{"entity": entity, "context": context, "term": t, "bit": 1 + number(t) % BITS, "start": x, "end": y} for t, x, y in terms]
-    return rows
-
-
-NEAR_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string()), ("bit", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
+            values.add(number(f"{kind}:{value}"))
+    return sorted(values)
+
+
+def terms_of(text: str, found: list[list[tuple[int, int]]]) -> Iterator[tuple[str, int, int]]:
+    """The terms of a text with their places; what lies in an entity is no term."""
+    taken = sorted(span for spans in found for span in spans)
+    starts = [a for a, _ in taken]
+    latest = list(accumulate((b for _, b in taken), max))
+    for word in WORD.finditer(text):
+        if m := CORE.search(word[0]):
+            x, y = word.start() + m.start(), word.start() + m.end()
+            i = bisect_left(starts, y) - 1
+            if i < 0 or latest[i] <= x:
+                yield m[0].lower(), x, y
+
+
+TERM_TYPE = pa.list_(pa.struct([("term", pa.string()), ("bit", pa.int64())]))
 FOUND_SCHEMA = (
     "doc_id bigint, digest binary, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, base_sha256 string, "
-    "near array<struct<entity bigint, context bigint, term string, bit bigint, start bigint, end bigint>>"
+    "entities array<bigint>, words array<struct<term string, bit bigint>>"
 )
+PLACE_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("remove", pa.bool_())]))
+PLACE_SCHEMA = "digest binary, terms array<struct<start bigint, end bigint, remove boolean>>"
 
 
 def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts, base, digests, near = [[], [], [], []], [], [], []
+        counts, base, digests, held, words = [[], [], [], []], [], [], [], []
         for text in batch.column("text"):
             text = text.as_py() or ""
             found = identifiers(text)
@@ -132,11 +135,13 @@ def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             listed = ",".join(f"{kind}:{a}:{b}" for kind, spans in zip(KINDS, found, strict=True) for a, b in spans)
             base.append(listed)
             digests.append(hashlib.sha256(listed.encode()).hexdigest())
-            near.append(surroundings(text, found) if listed else [])
+            held.append(entities(text, found))
+            own = {t for t, _, _ in terms_of(text, found)} if listed else ()
+            words.append([{"term": t, "bit": 1 + number(t) % BITS} for t in sorted(own)])
         yield pa.RecordBatch.from_pydict(
             {"doc_id": batch.column("doc_id"), "digest": batch.column("digest")}
             | {f"n_{kind}": pa.array(column, pa.int64()) for kind, column in zip(KINDS, counts, strict=True)}
-            | {"base": pa.array(base, pa.string()), "base_sha256": pa.array(digests, pa.string()), "near": pa.array(near, NEAR_TYPE)}
+            | {"base": pa.array(base, pa.string()), "base_sha256": pa.array(digests, pa.string()), "entities": pa.array(held, pa.list_(pa.int64())), "words": pa.array(words, TERM_TYPE)}
         )
 
 
@@ -165,51 +170,63 @@ def frequencies(bitmap: bytes):
 
 
 def disclosing(rows: DataFrame, found: DataFrame) -> DataFrame | None:
-    """(entity, term, share): the pairs whose term gives away at least ``GENERALISE`` of the entity; None if there is no candidate."""
-    near = found.select("doc_id", F.explode("near").alias("n")).select("doc_id", "n.*")
-    pairs = near.groupBy("entity", "term", "bit", "context", "doc_id").agg(F.lit(1).alias("one"))
-    contexts = pairs.select("entity", "term", "bit", "context").distinct().groupBy("entity", "term", "bit").agg(F.count("*").alias("contexts"))
-    documents = pairs.select("entity", "term", "doc_id").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    candidates = stage(contexts.filter(F.col("contexts") >= CONTEXTS).join(documents, ["entity", "term"]), "candidate-terms")
-    parts = candidates.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    """(digest, marks): for the texts that hold them the terms that give away at least ``GENERALISE`` of one of their entities, with
+    whether they are to be removed; None if no entity stands in ``TEXTS`` different texts."""
+    texts = found.select("digest", F.explode("entities").alias("entity")).groupBy("digest", "entity").agg(F.count("*").alias("copies"))
+    known = texts.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("texts")).filter(F.col("texts") >= TEXTS)
+    held = stage(texts.join(known.drop("texts"), "entity"), "entities")
+    words = found.select("digest", "words").join(held.select("digest").distinct(), "digest", "left_semi")
+    words = stage(words.select("digest", F.explode("words").alias("w")).select("digest", "w.*").distinct(), "candidate-terms")
+    parts = words.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
     if not parts:
         return None
     bitmap = bytearray(BITS // 8 + 4096)  # numbers and buckets count from 1; a bucket holds 4096 bytes
     for part in parts:
         at = max(part.part - 1, 0) * 4096
         bitmap[at : at + 4096] = bytes(x | y for x, y in zip(bitmap[at : at + 4096], part.bits, strict=True))
-    total = found.count()
+    total = float(found.count())
     terms = rows.select("text").mapInArrow(frequencies(bytes(bitmap)), "term string, n bigint")
-    terms = terms.groupBy("term").agg(F.sum("n").alias("n_term"))
-    entities = near.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    known = candidates.join(terms, "term").join(entities, "entity")
-    information = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    pmi = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
-    share = F.when(information > 0, pmi / information)
-    return known.select("entity", "term", share.alias("share")).filter(F.col("share") >= GENERALISE)
+    terms = stage(terms.groupBy("term").agg(F.sum("n").alias("n_term")), "term-frequencies")
+
+    information = F.log2(F.lit(total) / F.col("n_entity"))
+
+    def share(n_both: Column) -> Column:
+        return F.when(information > 0, F.log2(n_both * F.lit(total) / (F.col("n_entity") * F.col("n_term"))) / information)
+
+    # a pair can't be together more often than either is alone, which leaves common words out before they are paired
+    pairs = held.join(words.select("digest", "term").join(terms, "term"), "digest")
+    pairs = stage(pairs.filter(share(F.least("n_entity", "n_term")) >= GENERALISE), "entity-terms")
+    both = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"))
+    both = both.filter(F.col("texts") >= TEXTS).select("entity", "term", share(F.col("n_both")).alias("share")).filter(F.col("share") >= GENERALISE)
+    marks = pairs.select("digest", "entity", "term").join(both, ["entity", "term"]).groupBy("digest", "term").agg(F.max("share").alias("share"))
+    mark = F.struct("term", (F.col("share") >= REMOVE).alias("remove"))
+    return stage(marks.groupBy("digest").agg(F.collect_list(mark).alias("marks")), "disclosing-terms")
+
+
+def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where the marked terms of a text stand."""
+    for batch in batches:
+        places = []
+        for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
+            remove = {m["term"]: m["remove"] for m in marks}
+            places.append([{"start": x, "end": y, "remove": remove[t]} for t, x, y in terms_of(text, identifiers(text)) if t in remove])
+        yield pa.RecordBatch.from_pydict({"digest": batch.column("digest"), "terms": pa.array(places, PLACE_TYPE)})
 
 
 def digest_of(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def found_in(docs: DataFrame) -> DataFrame:
-    """``detect``, and the digest of each text."""
-    rows = with_rows(docs).select(F.col("row")["doc_id"].cast("bigint").alias("doc_id"), F.col("row")["text"].alias("text"), digest_of(F.col("row")["text"]).alias("digest"))
+def find_all(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The identifiers of every row, and (digest, terms) with the places of disclosing terms, one row per text that has some."""
+    text = F.col("row")["text"]
+    rows = with_rows(docs).select(F.col("row")["doc_id"].cast("bigint").alias("doc_id"), text.alias("text"), digest_of(text).alias("digest"))
     found = stage(rows.mapInArrow(find, FOUND_SCHEMA), "identifiers")
-    pairs = disclosing(rows, found)
-    none = F.array().cast("array<struct<start:bigint,end:bigint,remove:boolean>>")
-    if pairs is None:
-        marked = found.withColumn("terms", none)
-    else:
-        near = found.select("digest", F.explode("near").alias("n")).select("digest", "n.*")
-        marks = near.join(pairs, ["entity", "term"]).groupBy("digest", "start", "end").agg(F.max("share").alias("share"))
-        mark = F.struct("start", "end", (F.col("share") >= REMOVE).alias("remove"))
-        marks = marks.groupBy("digest").agg(F.sort_array(F.collect_list(mark)).alias("terms"))
-        marked = found.join(marks, "digest", "left").withColumn("terms", F.coalesce("terms", none))
-    listed = F.transform("terms", lambda t: F.format_string("term:%d:%d", t["start"], t["end"]))
-    spans = F.array_join(F.filter(F.concat(F.array("base"), listed), lambda s: s != ""), ",")
-    return marked.select("doc_id", "digest", *[f"n_{kind}" for kind in KINDS], "base_sha256", spans.alias("spans"), "terms")
+    marks = disclosing(rows, found)
+    if marks is None:
+        return found, None
+    places = rows.select("digest", "text").join(marks, "digest").mapInArrow(locate, PLACE_SCHEMA)
+    return found, stage(places.dropDuplicates(["digest"]), "term-places")  # rows of one digest are equal
 
 
 def detect(docs: DataFrame) -> DataFrame:
@@ -219,33 +236,42 @@ def detect(docs: DataFrame) -> DataFrame:
     then terms (kind ``term``) by start; places are code points, ends exclusive. ``terms`` holds (start, end, remove) of the terms.
     A null or empty text has no finds. An empty table gives an empty result.
     """
-    return found_in(docs).drop("digest")
+    found, places = find_all(docs)
+    none = F.array().cast("array<struct<start:bigint,end:bigint,remove:boolean>>")
+    marked = found.withColumn("terms", none) if places is None else found.join(places, "digest", "left").withColumn("terms", F.coalesce("terms", none))
+    listed = F.transform("terms", lambda t: F.format_string("term:%d:%d", t["start"], t["end"]))
+    spans = F.array_join(F.filter(F.concat(F.array("base"), listed), lambda s: s != ""), ",")
+    return marked.select("doc_id", *[f"n_{kind}" for kind in KINDS], "base_sha256", spans.alias("spans"), "terms")
 
 
 @F.pandas_udf(StringType())
-def redacted(text: pd.Series, spans: pd.Series, terms: pd.Series) -> pd.Series:
-    """Each find replaced by its kind in brackets; a term to remove by nothing. Overlapping finds are one, named by the first."""
+def redacted(text: pd.Series, terms: pd.Series) -> pd.Series:
+    """Each find of a text replaced by its kind in brackets; a term to remove by nothing. Overlapping finds are one, named by the first."""
 
-    def one(text, spans, terms):
-        if text is None or not spans:
+    def one(text, terms):
+        if text is None:
             return text
-        gone = {(t["start"], t["end"]) for t in terms if t["remove"]} if terms is not None else set()
-        finds = [(int(a), int(b), kind) for kind, a, b in (s.split(":") for s in spans.split(","))]
+        finds = [(a, b, f"[{kind.upper()}]") for kind, spans in zip(KINDS, identifiers(text), strict=True) for a, b in spans]
+        finds += [(t["start"], t["end"], "" if t["remove"] else "[TERM]") for t in (terms if terms is not None else ())]
         out, last = [], 0
-        for a, b, kind in sorted(finds, key=lambda f: (f[0], -f[1])):
+        for a, b, new in sorted(finds, key=lambda f: (f[0], -f[1])):
             if a >= last:
-                out += [text[last:a], "" if (a, b) in gone else f"[{kind.upper()}]"]
+                out += [text[last:a], new]
             last = max(last, b)
         return "".join([*out, text[last:]])
 
-    return pd.Series([one(*x) for x in zip(text, spans, terms, strict=True)], dtype=object)
+    return pd.Series([one(*x) for x in zip(text, terms, strict=True)], dtype=object)
 
 
 def sanitize(docs: DataFrame) -> DataFrame:
-    """``docs`` with the finds in ``text`` replaced or removed; rows and columns stay as they are."""
-    finds = found_in(docs).filter("spans <> ''").dropDuplicates(["digest"])  # rows of one digest are equal
-    finds = stage(finds.select("digest", "spans", "terms"), "finds")
-    rows = with_rows(docs).withColumn("digest", digest_of(F.col("row")["text"]))
-    joined = rows.join(finds, "digest", "left")
-    text = F.when(F.col("spans").isNotNull(), redacted(F.col("row")["text"], "spans", "terms")).otherwise(F.col("row")["text"])
-    return joined.select(F.col("row").withField("text", text).alias("row")).select("row.*")
+    """``docs`` with the finds in ``text`` replaced or removed; rows and columns stay as they are.
+
+    Identifiers are found in each row's own text; only the places of terms are joined, by the digest of the text.
+    """
+    _, places = find_all(docs)
+    rows = with_rows(docs)
+    if places is None:
+        joined = rows.withColumn("terms", F.lit(None).cast("array<struct<start:bigint,end:bigint,remove:boolean>>"))
+    else:
+        joined = rows.withColumn("digest", digest_of(F.col("row")["text"])).join(places, "digest", "left")
+    return joined.select(F.col("row").withField("text", redacted(F.col("row")["text"], "terms")).alias("row")).select("row.*")

@@ -1,9 +1,24 @@
-"""Personal data of rows that share an id or have none."""
+"""Disclosing terms anywhere in a document, and rows that share an id or have none."""
 
 from __future__ import annotations
 
 from larder.llm import pii
 
+SPACE = " the and of it was on a day when they all went out to see how things are by now so far"
+
+
+def fillers(n):
+    return [(100 + i, f"number {i}{SPACE}") for i in range(n)]
+
+
+def test_terms_far_from_an_entity_in_two_texts(spark):
+    """Two texts are enough, and the name goes in the next paragraph as well."""
+    docs = [(i, f"zaph@example.org {opening}{SPACE}\n\nsincerely, Zaphod and again{SPACE} Zaphod") for i, opening in enumerate(["hello", "goodbye"])]
+    frame = spark.createDataFrame(docs + fillers(60), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitize(frame).collect()}
+    assert all("Zaphod" not in clean[i] and "example" not in clean[i] and "went out" in clean[i] for i in (0, 1))
+    assert all(clean[i] == t for i, t in fillers(60))
+
 
 def test_rows_without_or_with_one_id(spark):
     """Every row loses its own identifiers and nothing else."""

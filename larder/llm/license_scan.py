@@ -1,6 +1,8 @@
 """License scan: a trained paragraph classifier whose predictions are confirmed against templates.
 
-Lines of text are paragraphs. A sparse multinomial logistic regression over word uni- and bigrams, with an L1 penalty, tells license
+Lines of text are paragraphs, and so is each seam of two lines: the end of a line with what follows it, either as long as the longest
+template may be, so that a notice wrapped over several lines is whole in one seam. A seam counts only if no line there is a notice of the
+family by itself, and seams in a row are one notice. A sparse multinomial logistic regression over word uni- and bigrams, with an L1 penalty, tells license
 families apart and knows one more class, ``unknown``. It is trained on variants of the templates below and on a bounded sample
 of the corpus's own lines (``NEGATIVES`` of them, those with the smallest hash) that resemble no template. Its confidence is
 calibrated: a temperature is chosen on lines held out of training. A prediction counts if the calibrated probability reaches
@@ -86,6 +88,8 @@ TEMPLATES = {
 }
 UNKNOWN = "unknown"
 NEGATIVES = 8000
+#: Characters on each side of a seam: more than the longest template, with comment marks and indents. Lines that a notice is wrapped to.
+SEAM, LINES = 240, 8
 #: An n-gram that more than this share of the sampled lines has is no feature.
 COMMON = 0.01
 CONFIDENCE, CONTAINMENT = 0.5, 0.6
@@ -153,6 +157,18 @@ def lines_of(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
+def seams_of(rows: DataFrame) -> DataFrame:
+    """The end of each line with the start of what follows; none for the last line."""
+    lines = rows.select("doc_id", F.split("text", "\n").alias("lines"))
+
+    def seam(line: Column, i: Column) -> Column:
+        after = F.array_join(F.transform(F.slice("lines", i + 2, LINES - 1), lambda x: F.left(x, F.lit(SEAM))), " ")
+        return F.concat_ws(" ", F.right(line, F.lit(SEAM)), F.left(after, F.lit(SEAM)))
+
+    seams = F.transform(F.slice("lines", 1, F.greatest(F.size("lines") - 1, F.lit(0))), seam)
+    return lines.select("doc_id", F.posexplode(seams).alias("line_no", "line"))
+
+
 def train(rows: DataFrame) -> Model:
     """The model for a corpus (doc_id, text)."""
     spark: SparkSession = rows.sparkSession
@@ -161,8 +177,10 @@ def train(rows: DataFrame) -> Model:
     templates: dict[str, list[list[str]]] = {}
     for row in notices.select("family", bigrams(F.col("ws")).alias("grams")).collect():
         templates.setdefault(row.family, []).append(row.grams)
-    sample = lines_of(rows).filter(F.col("line").rlike(r"\p{L}")).select("line").orderBy(F.xxhash64("line"), "line")
-    sample = stage(sample.limit(NEGATIVES).distinct().select(F.lit(UNKNOWN).alias("family"), tokens(F.col("line")).alias("ws")), "license-negatives")
+    lettered = lines_of(rows).filter(F.col("line").rlike(r"\p{L}")).select("line", F.xxhash64("line").alias("hash"))
+    chosen = stage(lettered.select("hash").distinct().orderBy("hash").limit(NEGATIVES), "license-sample")  # copies of a line are one
+    sample = lettered.join(chosen, "hash", "left_semi").select("line").distinct()
+    sample = stage(sample.select(F.lit(UNKNOWN).alias("family"), tokens(F.col("line")).alias("ws")), "license-negatives")
     alike = [containment(bigrams(F.col("ws")), templates, F.lit(f)) for f in TEMPLATES]
     negatives = sample.filter((F.greatest(*alike) < CONTAINMENT / 2) & (F.size("ws") > 0))
     cut = lambda a, b: F.slice("ws", F.greatest(F.lit(1), F.floor(F.size("ws") * a).cast("int") + 1), F.greatest(F.lit(2), F.ceil(F.size("ws") * (b - a)).cast("int")))
@@ -202,9 +220,24 @@ def train(rows: DataFrame) -> Model:
 
 
 def find_notices(rows: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, line_no, family, confidence, containment) of the lines that are notices."""
+    """(doc_id, line_no, family, confidence, containment) of the notices: lines, and the first of the lines that one is wrapped to."""
+    single = stage(rate(lines_of(rows), model), "license-lines")
+    seams = stage(rate(seams_of(rows), model), "license-seams")
+
+    def without(found: DataFrame, taken: DataFrame) -> DataFrame:
+        taken = taken.select(F.col("doc_id").alias("of"), F.col("line_no").alias("at"), F.col("family").alias("as")).distinct()
+        same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("line_no") == F.col("at")) & (F.col("family") == F.col("as"))
+        return found.join(taken, same, "left_anti")
+
+    near = F.explode(F.sequence(F.col("line_no") - LINES + 1, F.col("line_no")))
+    seams = without(seams, single.withColumn("line_no", near))
+    return single.unionByName(without(seams, seams.withColumn("line_no", F.col("line_no") + 1)))
+
+
+def rate(lines: DataFrame, model: Model) -> DataFrame:
+    """Those of (doc_id, line_no, line) that are notices."""
     gate = strings(model.gate())
-    lines = lines_of(rows).withColumn("ws", tokens(F.col("line"))).filter(F.arrays_overlap("ws", gate))
+    lines = lines.withColumn("ws", tokens(F.col("line"))).filter(F.arrays_overlap("ws", gate))
     rated = lines.select("doc_id", "line_no", ngrams(F.col("ws")).alias("grams"), bigrams(F.col("ws")).alias("pairs"))
     rated = rated.withColumn("p", model.probabilities(model.logits(F.col("grams"))))
     best = F.array_max("p")

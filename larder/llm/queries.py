@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import language_id, license_scan, lm_scoring, mixing, near_dedup, packing, pii, quality_rules, substring_dedup, vp_search
+from larder.llm import language_id, license_scan, lm_scoring, mixing, near_dedup, packing, pii, quality_rules, spelling, substring_dedup, toxicity, vp_search, whitening
 from larder.llm.common import documents
 
 
@@ -53,4 +53,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(documents(spark, sf_dir)).drop("terms")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_substring_dedup, op4_packing, op5_license_scan, op6_mixing, op7_vp_search, op8_lm_scoring, op9_near_dedup, op10_pii)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.withColumn("n_matches", F.size("matches")).drop("matches")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_language_id, op3_substring_dedup, op4_packing, op5_license_scan,
+    op6_mixing, op7_vp_search, op8_lm_scoring, op9_near_dedup, op10_pii,
+    op11_whitening, op12_spelling, op13_toxicity,
+)}

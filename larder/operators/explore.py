@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.missing import nan_to_null, round_half_even
+from larder.functions.missing import round_half_even
+from larder.operators.histogram import MomentHistogram
 from larder.operators.joins import na_join
-from larder.operators.quantiles import group_median
 from larder.sources.staging import stage
 
 
@@ -25,19 +25,27 @@ def top_items(cons: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
 def item_distribution(
     cons: DataFrame, items: DataFrame, k: int = 10, quantity: str = "quantity_g", digits: int = 1
 ) -> DataFrame:
-    """Mean, standard deviation, median and row count of the ``k`` most frequent items."""
-    top = stage(top_items(cons, items, k), "top-items")
-    rows = na_join(cons.select("item_code", nan_to_null(f"double({quantity})").alias("x")), top, "item_code", "inner")
+    """Mean, standard deviation, median and row count of the ``k`` most frequent items.
+
+    One histogram of all rows gives counts and moments; only rows near the medians of the ``k`` items are read again.
+    """
     pair = ["item_code", "itemname"]
-    moments = rows.groupBy(*pair, "n").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"))
-    medians = group_median(rows, pair, ["x"]).withColumnRenamed("x", "median")
-    return na_join(moments, medians, pair).select(
+    histogram = MomentHistogram(cons, ["item_code"], [quantity])
+    named = na_join(histogram.moments(quantity), items.select(*pair), "item_code")
+    # an item listed under one name several times has each of its rows as often
+    pairs = named.groupBy(*pair, "rows", "n", "mean", "square").agg(F.count(F.lit(1)).alias("times"))
+    pairs = pairs.withColumn("rows", F.col("rows") * F.col("times"))
+    order = [F.desc("rows"), F.asc_nulls_last("item_code"), F.asc_nulls_last("itemname")]
+    top = stage(pairs.orderBy(*order).limit(k), "top-items")
+    medians = histogram.medians(groups=top.select("item_code").distinct()).withColumnRenamed(quantity, "median")
+    spread = F.expr("CASE WHEN n * times > 1 THEN sqrt(square * times / (n * times - 1)) END")
+    return na_join(top.withColumn("sd", spread), medians, "item_code").select(
         *pair,
         *[
             round_half_even(f"nanvl({c}, CAST(NULL AS DOUBLE))", digits).alias(f"{c}_intake")
             for c in ("mean", "sd", "median")
         ],
-        "n",
+        F.col("rows").alias("n"),
     )
 
 
@@ -58,11 +66,12 @@ def intake_histogram(
     """Counts in equal bins of the quantity, one histogram per item, empty bins included.
 
     The first bin is centred on the smallest value and the last on the largest; bins are closed on the right. An item whose
-    values are all equal has one bin 0.1 wide; a single bin reaches from the smallest value to the largest. Missing and infinite values are left out. ``items`` restricts the items.
+    values are all equal has one bin 0.1 wide; a single bin reaches from the smallest value to the largest. Missing and infinite
+    values are left out. ``items`` restricts the items; the list is stored before the two passes over the rows.
     """
     rows = cons.select("item_code", F.col(quantity).cast("double").alias("x")).filter("abs(x) < double('Infinity')")
     if items is not None:
-        rows = na_join(rows, items.select("item_code").distinct(), "item_code", "left_semi")
+        rows = na_join(rows, stage(items.select("item_code").distinct(), "histogram-items"), "item_code", "left_semi")
     spans = rows.groupBy("item_code").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     sized = spans.selectExpr(
         "item_code",

@@ -1,10 +1,11 @@
 """Exact order statistics of huge, skewed groups without sorting a large group in one task.
 
-Rows are stored once and counted per (group, bucket), where the bucket is a fixed monotone function of the value, so the count
-combines on the map side and its result is small. A running total over the buckets tells in which bucket each wanted rank
-lies. Only rows of those buckets are looked at again; a bucket that still holds too many differing values is split further, and
-the last step orders the few values left. All groups take these steps, whatever their size. Nothing is sampled: the answers
-are exact for any distribution. Weights are decimals, so no sum depends on the order of its rows.
+Rows are counted per (group, bucket), where the bucket is a fixed monotone function of the value, so the count combines on the
+map side and its result is small. A running total over the buckets tells in which bucket each wanted rank lies. Only rows of
+those buckets are read again and stored; a bucket that still holds too many differing values is split further, and the last step
+orders the few values left. All groups take these steps, whatever their size. Nothing is sampled: the answers are exact for any
+distribution. Weights are decimals, so no sum depends on the order of its rows. The input is read twice and no copy of it is
+written, so it should be a stored table or a cheap plan over one.
 """
 
 from __future__ import annotations
@@ -25,10 +26,15 @@ LARGEST_BUCKET = 1_000_000
 #: Weights and their sums; a sum has ten digits more, and room for a share of three places.
 WEIGHT, TOTAL, TARGET = "decimal(24,12)", "decimal(34,12)", "decimal(37,15)"
 HALF = Decimal("0.5")
+#: The two middle ranks of a count.
+MIDDLES: dict[str, Callable[[Column], Column]] = {
+    "lower": lambda total: total * F.lit(HALF),
+    "upper": lambda total: total * F.lit(HALF) + F.lit(HALF),
+}
 BEYOND_EVERY_BUCKET = 1 << 20
 
 
-def _bucket(x: str) -> Column:
+def bucket_of(x: str) -> Column:
     """Monotone integer of a double: its sign and the binary logarithm of its size in steps of 1/64."""
     size = (
         f"CASE WHEN abs({x}) = double('Infinity') THEN {BEYOND_EVERY_BUCKET}"
@@ -83,42 +89,56 @@ def order_statistics(
         .filter(~is_missing(f"double({x})"))
         .select(*group, F.col(x).cast("double").alias("x"), w.cast(WEIGHT).alias("weight"))
     )
-    return _bucketed(stage(base, "quantile-rows"), group, targets, largest_bucket).drop(everyone)
+    return _bucketed(base, group, targets, largest_bucket).drop(everyone)
 
 
-def _bucketed(base: DataFrame, group: list[str], targets: dict, largest_bucket: int) -> DataFrame:
-    """Each group by counting buckets, then ordering the buckets that matter."""
-    base = base.withColumn("bucket", _bucket("x"))
-    measures = [
+def measures() -> list[Column]:
+    return [
         F.sum("weight").cast(TOTAL).alias("weight"),
         F.min("x").alias("low"),
         F.max("x").alias("high"),
         F.count(F.lit(1)).alias("n"),
     ]
 
+
+def _bucketed(base: DataFrame, group: list[str], targets: dict, largest_bucket: int) -> DataFrame:
+    """Each group by counting buckets, then ordering the buckets that matter."""
+    base = base.withColumn("bucket", bucket_of("x"))
+
     def wanted(total: Column) -> Column:
         pairs = [F.struct(F.lit(k).alias("name"), fn(total).cast(TARGET).alias("target")) for k, fn in targets.items()]
         return F.array(*pairs)
 
-    keys = [*group, "bucket", "name", "target"]
-    first = base.groupBy(*group, "bucket").agg(*measures)
+    first = base.groupBy(*group, "bucket").agg(*measures())
     spot = stage(
         _locate(first, group, "bucket", F.lit(0).cast(TOTAL), wanted).select(
             *group, "bucket", "aim.name", "aim.target", F.col("previous").alias("before"), "low", "high", "n"
         ),
         "quantile-buckets",
     )
+    place = [*group, "bucket"]
+    inside = stage(na_join(base, spot.select(*place).distinct(), place, "left_semi"), "quantile-candidates")
+    return resolve(inside, spot, group, place, list(targets), largest_bucket)
+
+
+def resolve(
+    base: DataFrame, spot: DataFrame, group: list[str], place: list[str], names: list[str], largest_bucket: int = LARGEST_BUCKET
+) -> DataFrame:
+    """The wanted values, one column per name, from the stored rows (``place``, x, weight) of the buckets that hold them.
+
+    ``spot`` has a row per ``place``, name and target: the weight ``before`` the bucket, and its low, high and n.
+    """
+    keys = [*place, "name", "target"]
 
     def candidates(spot: DataFrame) -> DataFrame:
-        inside = F.col("x").between(F.col("low"), F.col("high"))
-        return na_join(base, spot, [*group, "bucket"], "inner").filter(inside)
+        return na_join(base, spot, place, "inner").filter(F.col("x").between(F.col("low"), F.col("high")))
 
     while _needs_split(spot, largest_bucket):
         parts = (
             candidates(spot)
             .withColumn("part", _split("x", "low", "high"))
             .groupBy(*keys, "before", "part")
-            .agg(*measures)
+            .agg(*measures())
         )
         aim = F.array(F.struct(F.col("name"), F.col("target")))
         spot = stage(
@@ -132,9 +152,7 @@ def _bucketed(base: DataFrame, group: list[str], targets: dict, largest_bucket:
     order = Window.partitionBy(*group, "name").orderBy("x")
     reached = values.withColumn("reached", (F.col("before") + F.sum("weight").over(order)).cast(TOTAL))
     hits = reached.filter(F.col("reached") >= F.col("target"))
-    return hits.groupBy(*group).agg(
-        *[F.min(F.when(F.col("name") == k, F.col("x"))).alias(k) for k in targets]
-    )
+    return hits.groupBy(*group).agg(*[F.min(F.when(F.col("name") == k, F.col("x"))).alias(k) for k in names])
 
 
 def _needs_split(spot: DataFrame, largest_bucket: int) -> bool:
@@ -168,8 +186,11 @@ def group_median(
         .select(*key, "cell.*", F.lit(1).cast(WEIGHT).alias("weight"))
         .filter(F.col("x").isNotNull())
     )
-    middles = {"lower": lambda total: total * F.lit(HALF), "upper": lambda total: total * F.lit(HALF) + F.lit(HALF)}
-    found = _bucketed(stage(melted, "median-rows"), [*key, "variable"], middles, largest_bucket)
+    return widen_medians(_bucketed(melted, [*key, "variable"], MIDDLES, largest_bucket), key, columns)
+
+
+def widen_medians(found: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """A column per variable from rows (key, variable, lower, upper)."""
     middle = F.expr("CASE WHEN lower = upper THEN lower ELSE nanvl((lower + upper) / 2, NULL) END")
     return (
         found.withColumn("median", middle)

@@ -1,7 +1,8 @@
 """Adult-female equivalents of a household from roster, anthropometry and pregnancy tables.
 
-Persons are identified by (hhid, indid). Each person set is its own table, as the sets overlap on purpose: a woman who is
-pregnant and lactating belongs to both and counts in both unless ``hh_afe(dedupe='max')`` is asked for.
+Persons are identified by (hhid, indid). The household id is never NULL, so tables bucketed by it meet where they lie. Each person
+set is its own table, as the sets overlap on purpose: a woman who is pregnant and lactating belongs to both and counts in both
+unless ``hh_afe(dedupe='max')`` is asked for.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from larder.functions.missing import count_where, if_else, sum_or_zero
 from larder.operators.joins import na_join, union_by_name, without_keys
 
 PERSON = ["hhid", "indid"]
+MAY_BE_NULL = ["indid"]
 PROFILE = ["sex", "age"]
 
 
@@ -25,32 +27,32 @@ def eaters(roster: DataFrame) -> DataFrame:
 def under_two(eating: DataFrame, child_ages: DataFrame) -> DataFrame:
     """Children below two years, age in months taken from the child table or else from the years."""
     months = F.coalesce(F.col("age_months"), F.col("age") * 12).cast("double")
-    rows = na_join(eating.filter(F.col("age") < 2), child_ages.select(*PERSON, "age_months"), PERSON)
+    rows = na_join(eating.filter(F.col("age") < 2), child_ages.select(*PERSON, "age_months"), PERSON, null_keys=MAY_BE_NULL)
     return rows.select(*PERSON, months.alias("age_months"), "age")
 
 
 def lactating(eating: DataFrame, infants: DataFrame, max_age: int = ref.OLDEST_LACTATING_AGE) -> DataFrame:
     """Mothers of eating children up to 23 months, with the number of children up to and past six months."""
     children = (
-        na_join(eating.select(*PERSON, "moid"), infants.select(*PERSON, "age_months"), PERSON, "inner")
+        na_join(eating.select(*PERSON, "moid"), infants.select(*PERSON, "age_months"), PERSON, "inner", MAY_BE_NULL)
         .filter((F.col("age_months") <= 23) & F.col("moid").isNotNull())
     )
     mothers = children.groupBy("hhid", F.col("moid").alias("indid")).agg(
         count_where("age_months <= 6").alias("under6_months"),
         count_where("age_months > 6").alias("over6_months"),
     )
-    return na_join(mothers, eating.select(*PERSON, *PROFILE), PERSON).filter(F.col("age") <= max_age)
+    return na_join(mothers, eating.select(*PERSON, *PROFILE), PERSON, null_keys=MAY_BE_NULL).filter(F.col("age") <= max_age)
 
 
 def pregnant(eating: DataFrame, pregnancies: DataFrame) -> DataFrame:
     """Pregnant eaters with age and sex."""
     rows = pregnancies.filter(F.col("pregnant") == 1).select(*PERSON)
-    return na_join(rows, eating.select(*PERSON, "age", "sex"), PERSON, "inner")
+    return na_join(rows, eating.select(*PERSON, "age", "sex"), PERSON, "inner", MAY_BE_NULL)
 
 
 def demographic_others(eating: DataFrame, *sets: DataFrame) -> DataFrame:
     """Eaters in none of the person sets."""
-    return without_keys(eating, sets, PERSON).select(*PERSON, "age", "sex")
+    return without_keys(eating, sets, PERSON, MAY_BE_NULL).select(*PERSON, "age", "sex")
 
 
 def under_two_kcal(months: str) -> Column:
@@ -70,7 +72,7 @@ def mean_weights(
     anthropometry: DataFrame, eating: DataFrame, pal: float = ref.ACTIVITY_LEVEL, adult_kg: dict = ref.ADULT_WEIGHT_KG
 ) -> DataFrame:
     """Mean weight per sex and age from two years on, assumed weights from 15 on, and the activity level of adults."""
-    weighed = na_join(anthropometry.select(*PERSON, "weight"), eating.select(*PERSON, *PROFILE), PERSON)
+    weighed = na_join(anthropometry.select(*PERSON, "weight"), eating.select(*PERSON, *PROFILE), PERSON, null_keys=MAY_BE_NULL)
     rows = weighed.groupBy(*PROFILE).agg(F.avg("weight").alias("meanw")).filter(F.col("age") >= 2)
     for code, assumed in adult_kg.items():
         rows = rows.withColumn("meanw", if_else(f"age >= 15 AND sex = {code}", f"{assumed}D", "meanw"))

@@ -38,7 +38,7 @@ def residence_recode(df: DataFrame, code: str = "rural") -> DataFrame:
 def household_head(roster: DataFrame, education: DataFrame) -> DataFrame:
     """Sex, age and education of each household head; a household with two heads has two rows."""
     heads = roster.filter(F.col("relationship") == HEAD).select("hhid", "indid", "sex", "age")
-    educated = na_join(heads, education.select("hhid", "indid", "educ"), ["hhid", "indid"])
+    educated = na_join(heads, education.select("hhid", "indid", "educ"), ["hhid", "indid"], null_keys=["indid"])
     return educated.select(
         "hhid",
         recode("sex", SEX).alias("sex_head"),

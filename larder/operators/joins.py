@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def na_join(left: DataFrame, right: DataFrame, on, how: str = "left", null_keys: bool = True) -> DataFrame:
+def na_join(
+    left: DataFrame, right: DataFrame, on, how: str = "left", null_keys: bool | Collection[str] = True
+) -> DataFrame:
     """Equi-join that keeps the left key columns and adds the right non-key columns.
 
     ``on`` is a name, or a list of names and (left, right) pairs. NULL keys match each other; pass ``null_keys=False``
-    when the right side holds no NULL key, which gives the same rows from plain equality and lets the join share its
-    hash partitioning with a neighbouring ``groupBy``. No broadcast hint is set: Catalyst picks the strategy from the sizes.
+    when the right side holds no NULL key, or the left names of those that it may hold NULLs in, which gives the same rows from
+    plain equality and lets the join share its hash partitioning with a neighbouring ``groupBy`` or the buckets of a stored
+    table. No broadcast hint is set: Catalyst picks the strategy from the sizes.
     """
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in ([on] if isinstance(on, str) else on)]
     renamed = {rk: f"__right_{rk}" for _, rk in pairs}
@@ -28,16 +31,18 @@ def na_join(left: DataFrame, right: DataFrame, on, how: str = "left", null_keys:
 
     def matches(lk: str, rk: str):
         l, r = F.col(lk), F.col(renamed[rk])
-        return l.eqNullSafe(r) if null_keys else l == r
+        return l.eqNullSafe(r) if null_keys is True or (null_keys and lk in null_keys) else l == r
 
     joined = left.join(keyed, reduce(lambda a, b: a & b, [matches(lk, rk) for lk, rk in pairs]), how)
     return joined.drop(*renamed.values())
 
 
-def without_keys(df: DataFrame, key_sets: Iterable[DataFrame], on: list[str]) -> DataFrame:
+def without_keys(
+    df: DataFrame, key_sets: Iterable[DataFrame], on: list[str], null_keys: bool | Collection[str] = True
+) -> DataFrame:
     """Rows of ``df`` whose key is in none of the sets: one anti join against the union of the keys."""
     keys = reduce(DataFrame.unionByName, [s.select(*on) for s in key_sets])
-    return na_join(df, keys, on, "left_anti")
+    return na_join(df, keys, on, "left_anti", null_keys)
 
 
 def union_by_name(*parts: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from larder.functions.columns import cast_numbers
 from larder.operators import composition, household
 from larder.operators.joins import na_join
 from larder.plans import chains
-from larder.sources.staging import stage
+from larder.sources.staging import co_partitioned, stage
 
 # Columns used of the base tables.
 BASE_TABLES = {
@@ -186,30 +186,43 @@ class Tables:
     @cached_property
     def cons(self) -> DataFrame:
         """The consumption table of the survey, stored."""
-        return stage(chains.food_consumption(self.new_module, self.old_module), "food-consumption")
+        return chains.store_consumption(self.new_module, self.old_module)
+
+    @cached_property
+    def homes(self) -> chains.Households:
+        """The household tables of the survey, stored alike."""
+        return chains.store_households(
+            chains.Households(
+                self.cover, self.roster, self.anthropometry, self.child_ages, self.pregnancies, self.education, self.expenditure
+            )
+        )
 
     @cached_property
     def person_sets(self) -> chains.PersonSets:
-        return chains.person_sets(self.roster, self.child_ages, self.pregnancies)
+        return chains.person_sets(self.homes.roster, self.homes.child_ages, self.homes.pregnancies)
 
-    def hh_afe(self, dedupe: str | None = None) -> DataFrame:
-        return chains.household_afe(self.roster, self.anthropometry, self.child_ages, self.pregnancies, dedupe)
+    @cached_property
+    def afe(self) -> DataFrame:
+        """Equivalents per household, stored."""
+        return chains.store_afe(self.homes)
 
     @cached_property
     def hh(self) -> DataFrame:
         """Households with their equivalents, stored."""
-        return stage(na_join(self.cover.select("hhid", "adm1"), self.hh_afe(), "hhid", null_keys=False), "households")
+        rows = na_join(self.homes.cover.select("hhid", "adm1"), self.afe, "hhid", null_keys=False)
+        return stage(rows, "households", "hhid", arranged=True)
 
     @cached_property
     def residences(self) -> DataFrame:
-        return household.residence_recode(self.cover.select("hhid", "rural"))
+        return household.residence_recode(self.homes.cover.select("hhid", "rural"))
 
     @cached_property
     def hh_info(self) -> DataFrame:
         """The household table of the survey, stored."""
-        return stage(
-            chains.household_table(self.cover, self.roster, self.education, self.hh_afe(), self.expenditure), "hh-info"
-        )
+        homes = self.homes
+        with co_partitioned(self.spark):
+            table = chains.household_table(homes.cover, homes.roster, homes.education, self.afe, homes.expenditure)
+            return stage(table, "hh-info", "hhid", arranged=True)
 
 
 def rounded(df: DataFrame, digits: int = 4, **other_digits: int | None) -> DataFrame:

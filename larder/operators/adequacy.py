@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from larder.functions.columns import across, column_range
 from larder.functions.missing import if_else
 from larder.functions.reference import REQUIREMENTS, TARGET_NUTRIENTS
-from larder.operators.intake import ZoneOverride, apparent_intake, nutrients_of
+from larder.operators.intake import ZoneOverride, nutrients_of
+from larder.operators.joins import na_join
+from larder.operators.layers import SURVEY, CompositionLayers, Layer
 
 
 def _mean(columns: list[Column]) -> Column:
@@ -47,28 +49,18 @@ def adequacy_targets(
 def multi_survey_targets(
     cons: DataFrame, fct: DataFrame, hh: DataFrame, zoned: tuple[str, ZoneOverride] | None = None
 ) -> DataFrame:
-    """Adequacy targets of all surveys at once, from tables that carry a ``survey_id`` column.
+    """Adequacy targets of all surveys at once, from tables that carry a ``survey_id`` column; rows whose survey is NULL are a survey too.
 
-    ``zoned`` names the one survey whose composition differs by zone, with its override. Its rows take their own branch;
-    all others are priced in a single aggregation keyed by (survey, household).
+    ``zoned`` names the one survey whose composition differs by zone, with its override. All surveys are priced by one layered lookup
+    in one aggregation keyed by (survey, household).
     """
-    keys, item_key = ("survey_id", "hhid"), ("survey_id", "item_code")
-
-    def plain(c: DataFrame, f: DataFrame, h: DataFrame) -> DataFrame:
-        return apparent_intake(c, f, h, keys=keys, item_key=item_key)
-
-    if zoned is None:
-        return adequacy_targets(plain(cons, fct, hh))
-    survey_id, override = zoned
-    here, elsewhere = F.col("survey_id") == survey_id, F.col("survey_id") != survey_id
-    own = apparent_intake(
-        cons.filter(here).drop("survey_id"),
-        fct.filter(here).drop("survey_id"),
-        hh.filter(here).drop("survey_id"),
-        override=override,
-    )
-    rest = plain(cons.filter(elsewhere), fct.filter(elsewhere), hh.filter(elsewhere))
-    return adequacy_targets(rest).unionByName(adequacy_targets(own, survey_id))
+    layers = [Layer(fct, survey=F.col(SURVEY))]
+    if zoned is not None:
+        survey_id, override = zoned
+        layers.insert(0, Layer(override.fct, F.lit(survey_id), override.zone))
+        hh = na_join(hh, override.zones.select("hhid", F.col(override.zone).alias("zone")), "hhid", null_keys=False)
+    lookup = CompositionLayers(layers, nutrients_of(fct, [SURVEY]))
+    return adequacy_targets(lookup.intake(cons, hh, (SURVEY, "hhid"), F.col(SURVEY)))
 
 
 def mar_export(

@@ -13,11 +13,9 @@ from pyspark.sql import functions as F
 
 from larder.functions.columns import across, ending_with, others
 from larder.functions.missing import safe_div, sum_or_zero, times
-from larder.operators.joins import na_join, union_by_name
-from larder.sources.staging import stage
-
-ITEM_COLUMNS = ["item_code", "item_name"]
-CONSUMED = ["quantity_100g", "quantity_g"]
+from larder.operators.grid import ITEM_COLUMNS, ImpliedGrid
+from larder.operators.joins import na_join
+from larder.operators.layers import CompositionLayers, Layer
 
 
 class ZoneOverride(NamedTuple):
@@ -41,20 +39,6 @@ def price(cons: DataFrame, fct: DataFrame, item_key=("item_code",)) -> DataFrame
     return across(rows, nutrients, lambda c: times(c, "quantity_100g"))
 
 
-def price_by_zone(cons: DataFrame, fct: DataFrame, override: ZoneOverride) -> DataFrame:
-    """As ``price``, but items listed in the override take the composition of their household's zone, or NULL.
-
-    Only the rows of those items are joined with the zones of the households; all others never move.
-    """
-    zoned = override.fct.filter(F.col(override.zone).isNotNull())
-    listed = zoned.select("item_code").distinct()
-    plain = price(na_join(cons, listed, "item_code", "left_anti"), fct)
-    special = na_join(cons, listed, "item_code", "left_semi")
-    special = na_join(special, override.zones.select("hhid", override.zone), "hhid", null_keys=False)
-    by_zone = price(special, zoned, ["item_code", override.zone]).drop(override.zone)
-    return union_by_name(plain, by_zone)
-
-
 def household_totals(priced: DataFrame, nutrients: list[str], keys=("hhid",)) -> DataFrame:
     """Sum of every nutrient per household, missing amounts skipped."""
     return priced.groupBy(*keys).agg(*[sum_or_zero(c).alias(c) for c in nutrients])
@@ -77,14 +61,16 @@ def apparent_intake(
     """Nutrients available per adult-female equivalent and day, one row per household that reported consumption.
 
     Rows are summed per household before the equivalents are joined, so the fact rows are shuffled once, after a partial
-    sum on the map side. For several surveys in one table give ``keys=('survey', 'hhid')``.
+    sum on the map side. For several surveys in one table give ``keys=('survey', 'hhid')``. With ``override``, items that it lists
+    take the composition of their household's zone, or none.
     """
+    if override is not None:
+        zones = override.zones.select("hhid", F.col(override.zone).alias("zone"))
+        located = na_join(hh.select("hhid", "afe"), zones, "hhid", null_keys=False)
+        layers = CompositionLayers([Layer(override.fct, zone=override.zone), Layer(fct)], nutrients_of(fct))
+        return layers.intake(cons, located)
     nutrients = nutrients_of(fct, item_key)
-    if override is None:
-        priced = price(cons, fct, item_key)
-    else:
-        priced = price_by_zone(cons, fct, override)
-    return per_afe(household_totals(priced, nutrients, keys), hh, nutrients, keys)
+    return per_afe(household_totals(price(cons, fct, item_key), nutrients, keys), hh, nutrients, keys)
 
 
 def nutrient_density(cons: DataFrame, fct: DataFrame, energy: str = "energy_kcal") -> DataFrame:
@@ -97,39 +83,18 @@ def nutrient_density(cons: DataFrame, fct: DataFrame, energy: str = "energy_kcal
     return dense.select("hhid", *ending_with(dense, "1000kcal"))
 
 
-def full_item_list(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> DataFrame:
-    """Households by composition-table items, quantities and nutrients per equivalent: the rows that were consumed.
+def consumed_items(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> DataFrame:
+    """The consumed rows of the grid of households and items, per equivalent; the other pairs are implied (see ``grid``)."""
+    return ImpliedGrid(hh, cons, fct).rows()
 
-    Every other (household, item) pair of the grid is zero if the household's ``afe`` is positive and missing otherwise, so
-    it is implied by ``hh`` and needs no row. ``food_group_mean_intake`` and ``food_group_matrix`` count those zeros. As in
-    the full grid, an item listed in two food groups contributes its consumption once per (recorded, listed) pair.
-    """
-    nutrients = nutrients_of(fct)
-    eaten = cons.groupBy("hhid", "item_code", "food_group").agg(*[sum_or_zero(c).alias(c) for c in CONSUMED])
-    listed = stage(cons.select("item_code", "food_group").distinct(), "listed-items")
-    rows = na_join(hh.select("hhid", "afe"), eaten.drop("food_group"), "hhid", "inner", null_keys=False)
-    rows = across(rows, CONSUMED, lambda c: safe_div(c, "afe"))
-    rows = na_join(rows, fct, "item_code", "inner")
-    rows = na_join(rows, listed, "item_code", "inner")
-    return across(rows, nutrients, lambda c: times(c, "quantity_100g"))
 
+#: The former name, which promised the zeros too.
+full_item_list = consumed_items
 
-def full_item_totals(hh: DataFrame, cons: DataFrame, fct: DataFrame, by: list[str]) -> DataFrame:
-    """Sums of the grid's quantities and nutrients by item columns (item_code, item_name, food_group).
 
-    Zero rows add nothing and are never made. Nutrients are proportional to the quantity, so the quantities are summed per item
-    first, with a partial sum on the map side, and only those few rows meet the composition table.
-    """
-    nutrients = nutrients_of(fct)
-    rows = na_join(cons, hh.select("hhid", "afe"), "hhid", null_keys=False)
-    per_unit = across(rows, CONSUMED, lambda c: safe_div(c, "afe"))
-    sums = stage(
-        per_unit.groupBy("item_code", "food_group").agg(*[sum_or_zero(c).alias(c) for c in CONSUMED]), "item-sums"
-    )
-    items = na_join(sums.drop("food_group"), fct, "item_code", "inner")
-    items = na_join(items, sums.select("item_code", "food_group"), "item_code", "inner")
-    priced = across(items, nutrients, lambda c: times(c, "quantity_100g"))
-    return priced.groupBy(*by).agg(*[sum_or_zero(c).alias(c) for c in [*CONSUMED, *nutrients]])
+def full_item_totals(hh: DataFrame, cons: DataFrame, fct: DataFrame, by: list[str]) -> DataFrame:
+    """Sums of the grid's quantities and nutrients by item columns (item_code, item_name, food_group)."""
+    return ImpliedGrid(hh, cons, fct).sum(by)
 
 
 def food_group_mean_intake(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> DataFrame:
@@ -137,20 +102,11 @@ def food_group_mean_intake(hh: DataFrame, cons: DataFrame, fct: DataFrame) -> Da
 
     Households that ate nothing of a group count as zero; what other households ate does not count.
     """
-    columns = [*CONSUMED, *nutrients_of(fct)]
-    households = hh.agg(F.count_if(F.col("afe") > 0).alias("households"))
-    totals = full_item_totals(hh.filter("afe > 0"), cons, fct, ["food_group"]).withColumn("households", households.scalar())
-    return across(totals, columns, lambda c: safe_div(c, "households"))
+    return ImpliedGrid(hh, cons, fct).mean(["food_group"])
 
 
 def food_group_matrix(
     hh: DataFrame, cons: DataFrame, fct: DataFrame, groups: list[str], column: str = "quantity_g"
 ) -> DataFrame:
     """One row per household and one column per food group with its intake per equivalent, zero where none was eaten."""
-    wide = (
-        full_item_list(hh, cons, fct)
-        .groupBy("hhid")
-        .agg(*[F.coalesce(F.sum(F.when(F.col("food_group") == F.lit(g), F.col(column))), F.lit(0.0)).alias(g) for g in groups])
-    )
-    rows = na_join(hh.select("hhid", "afe"), wide, "hhid", null_keys=False)
-    return across(rows, groups, lambda c: F.expr(f"coalesce({c}, CASE WHEN afe > 0 THEN 0.0D END)"))
+    return ImpliedGrid(hh, cons, fct).pivot("food_group", groups, column)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,7 @@ FOOD_CONSUMPTION_SCHEMA = schema_of(
 FCT_SCHEMA = schema_of(
     item_code="bigint", item_name="string", **{name: "double" for name in COMPOSITION_COLUMNS.values()}
 )
+BASE_AI_SCHEMA = schema_of(hhid="string", **{name: "double" for name in COMPOSITION_COLUMNS.values()})
 
 
 class Survey(NamedTuple):
@@ -93,6 +95,45 @@ def save_survey(survey: Survey, base: str, name: str, fmt: str = "parquet") -> N
             df.write.mode("overwrite").format(fmt).save(path)
 
 
+def save_base_ai(base_ai: DataFrame, base: str, name: str, fmt: str = "parquet") -> None:
+    """Write the intake table of a named survey where ``load_base_ai`` finds it."""
+    path = f"{base}/{name}_base_ai"
+    if fmt == "csv":
+        write_csv_na(base_ai, path)
+    else:
+        base_ai.write.mode("overwrite").format(fmt).save(path)
+
+
+def load_base_ai(spark: SparkSession, base: str, name: str, fmt: str = "parquet", schema=BASE_AI_SCHEMA) -> DataFrame:
+    """The intake table of a named survey."""
+    return read_table(spark, f"{base}/{name}_base_ai", schema, fmt)
+
+
+def write_ordered(df: DataFrame, path: str, order_by: Sequence[Column], rows_per_file: int = 1_000_000) -> None:
+    """Write ``df`` so that ``read_ordered`` gives its rows back in order, whatever their number.
+
+    Rows are dealt by ranges of the order and of all other columns after it, so that many rows equal in the order don't land in one task,
+    and sorted there. Each row keeps its range and its place in it; a file holds at most ``rows_per_file`` rows.
+    """
+    clash = {"__range", "__place"} & set(df.columns)
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} are used for the order")
+    rest = [F.col(f"`{c}`") for c, kind in df.dtypes if not kind.startswith("map")]
+    ordered = df.orderBy(*order_by, *rest).withColumns(
+        {"__range": F.spark_partition_id(), "__place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    ordered.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, row_order: str = "row_order") -> DataFrame:
+    """The rows of ``write_ordered`` with their number in the order, from 0. The rows before each range are a sum over one small row per range."""
+    rows = spark.read.parquet(path)
+    sizes = rows.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("__range", (F.sum("n").over(Window.orderBy("__range")) - F.col("n")).alias("start"))
+    numbered = rows.join(starts, "__range").withColumn(row_order, F.col("start") + F.col("__place"))
+    return numbered.drop("__range", "__place", "start")
+
+
 def append_partitioned(df: DataFrame, path: str, partition_by=("iso3", "survey"), replace: bool = False) -> None:
     """Append to a table partitioned by country and survey.
 

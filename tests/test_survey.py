@@ -154,7 +154,7 @@ def test_item_rows_are_the_consumed_rows_of_the_full_grid(spark):
     hh, cons, fct = survey_tables(spark)
     got = [
         (r.hhid, r.item_code, r.food_group, r.quantity_100g, r.energy_kcal)
-        for r in intake.full_item_list(hh, cons, fct).collect()
+        for r in intake.consumed_items(hh, cons, fct).collect()
     ]
     grid = list(full_grid())
     assert sorted(got, key=str) == sorted(

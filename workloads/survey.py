@@ -141,14 +141,14 @@ def afe_other(t: Tables):
 
 @query(f"SELECT hhid, {rnd('afe', 6)} FROM st_afe")
 def hh_afe(t: Tables):
-    return rounded(t.hh_afe(), 6)
+    return rounded(t.afe, 6)
 
 
 @query(f"""SELECT hhid, {rnd('sum(afe)', 6, 'afe')} FROM (SELECT hhid, indid, max(afe) AS afe FROM (SELECT * FROM st_afe_infants
     UNION ALL SELECT * FROM st_afe_lactating UNION ALL SELECT * FROM st_afe_pregnant UNION ALL SELECT * FROM st_afe_others)
     GROUP BY hhid, indid) GROUP BY hhid""")
 def hh_afe_deduped(t: Tables):
-    return rounded(t.hh_afe(dedupe="max"), 6)
+    return rounded(chains.store_afe(t.homes, dedupe="max"), 6)
 
 
 # Households
@@ -212,7 +212,7 @@ def nutrient_density(t: Tables):
 
 @query(f"SELECT hhid, {rnd('afe')}, item_code, item_name, food_group, {GRAMS}, {rounded_nutrients()} FROM st_grid")
 def full_item_list(t: Tables):
-    return rounded(intake.full_item_list(t.hh, t.cons, t.fct))
+    return rounded(intake.consumed_items(t.hh, t.cons, t.fct))
 
 
 @query(f"""SELECT item_code, food_group, {', '.join(rnd(f'coalesce(sum({n}), 0)', 2, n) for n in [*QUANTITIES, *NUTRIENTS])}

@@ -344,9 +344,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out: str = HELD_OUT, sample:
     clean = texts.filter("toxic = 0").select("text").mapInArrow(count_clean(set(toxic)), "stem string, n bigint").groupBy("stem").agg(F.sum("n").alias("n"))
     clean = {r["stem"]: r["n"] for r in clean.toLocalIterator()}
     stems = choose_stems(toxic, clean, n_toxic, clean.get("", 0))
-    rows = texts.mapInArrow(measure(stems), "toxic int, features array<double>").orderBy("toxic", "features").collect()  # a few numbers per sampled text
+    rows = texts.mapInArrow(measure(stems), "toxic int, features array<double>").collect()  # a few numbers per sampled text
     if not rows:
         return Model(stems, PRIOR.copy())
+    rows.sort()  # so that sums don't depend on the order of tasks
     return Model(stems, fit(np.array([r["features"] for r in rows]), np.array([r["toxic"] for r in rows], float)))
 
 

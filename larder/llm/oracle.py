@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import mixing, quality_rules
+from larder.llm import mixing, quality_rules, spelling
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -104,9 +104,45 @@ select c.doc_id, coalesce(s.n, 0)::bigint as n_shingles, c.component_id, c.doc_i
 from components c left join sizes s using (doc_id)
 """
 
+#: The checksum of a string as a fold over its UTF-8 bytes; ``t`` is its table of 256 steps, made by the rule of its polynomial.
+CRC_TABLE = """select list_transform(range(256), lambda i: list_reduce([i] || range(8),
+  lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t"""
+
+
+def crc32(value: str) -> str:
+    code = "unicode(ch)::bigint"
+    two = f"[192 + ({code} >> 6), 128 + ({code} & 63)]"
+    octets = f"flatten(list_transform(string_split({value}, ''), lambda ch: case when {code} < 128 then [{code}] else {two} end))"
+    return f"xor(list_reduce([4294967295] || {octets}, lambda c, o: xor(c >> 8, t[(xor(c, o) & 255) + 1])), 4294967295)"
+
+
+SPELLING = f"""
+with recursive steps as ({CRC_TABLE}),
+found as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as run from documents),
+runs as (select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n from found group by all),
+hashed as (select run, n, {crc32("concat(doc_id, ':', run)")} as h from runs, steps),
+written as (select case when h % {spelling.EVERY} = 0 then concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) else run end as word, n from hashed),
+words as materialized (select word, sum(n)::bigint as n from written group by word
+  having sum(n) >= {spelling.MIN_COUNT} and length(word) >= {spelling.MIN_LENGTH}),
+rests as materialized (select word, n, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) as rest
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+replaced as (select a.word, b.word as other, b.n as other_n from rests a join rests b on a.i = b.i and a.rest = b.rest and a.word <> b.word),
+shorter as (select a.word as word, a.n as n, b.word as other, b.n as other_n from rests a join words b on a.rest = b.word),
+near as materialized (select * from replaced union select word, other, other_n from shorter union select other, word, n from shorter),
+best as materialized (select word, count(*) over (partition by word) as n_near, other, other_n from near
+  qualify row_number() over (partition by word order by other_n desc, other) = 1),
+named as materialized (select w.word, n, coalesce(n_near, 0)::bigint as n_near, case when other_n >= {spelling.RATIO} * n then other end as form,
+  case when other_n >= {spelling.RATIO} * n then other_n end as form_n from words w left join best b on w.word = b.word),
+ways as (select word, form as place, 1 as step from named where form is not null
+  union all select w.word, n.form, step + 1 from ways w join named n on w.place = n.word where n.form is not null),
+ends as (select word, arg_max(place, step) as root from ways group by word)
+select n.word, form, coalesce(root, n.word) as root, n, n_near, form_n from named n left join ends e on n.word = e.word
+"""
+
 ORACLE = {
     "op1_quality_rules": quality_sql(),
     "op3_substring_dedup": SUBSTRING,
     "op6_mixing": MIXING,
     "op9_near_dedup": NEAR,
+    "op12_spelling": SPELLING,
 }

@@ -31,13 +31,14 @@ def test_query_equals_sql(spark, name):
     got = __spark_entry__.queries()[name](spark, SF).toPandas()
     want = duck().execute(ORACLE[name]).df()[list(got.columns)]
     for frame in (got, want):
-        frame.sort_values("doc_id", inplace=True, ignore_index=True)
-    assert got.astype(object).equals(want.astype(object))
+        frame.sort_values(frame.columns[0], inplace=True, ignore_index=True)
+    got, want = (frame.astype(object).where(frame.notna(), None) for frame in (got, want))
+    assert got.equals(want)
 
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline(spark):

@@ -18,13 +18,20 @@ def rescale(df: DataFrame, by: str, columns: list[str], to_unit: bool) -> DataFr
     return df.withColumns({c: op(c, by) for c in columns})
 
 
+def log_cutpoints(df: DataFrame, key: str, x: str, k: float = 3) -> DataFrame:
+    """Per group the mean plus ``k`` standard deviations of log10; NULL where either is undefined."""
+    log = log10_ieee(x)
+    stats = df.groupBy(key).agg(F.avg(log).alias("mean_log"), F.stddev_samp(log).alias("sd_log"))
+    return stats.select(key, nan_to_null(f"mean_log + {k} * sd_log").alias("upper_cut"))
+
+
 def outlier_log_sd(df: DataFrame, key: str, x: str, k: float = 3, cuts: DataFrame | None = None) -> DataFrame:
     """Blank values whose log10 lies above mean plus ``k`` deviations of their group; without such a cut point they stay.
 
     ``cuts`` (key, upper_cut) are the cut points if they are known.
     """
     if cuts is None:
-        cuts = stage(MomentHistogram(df, [key], [x]).log_cutpoints(x, k), "cutpoints")
+        cuts = stage(log_cutpoints(df, key, x, k), "cutpoints")
     kept: Column = F.when(log10_ieee(x) > F.col("upper_cut"), F.lit(None)).otherwise(F.col(x))
     return na_join(df, cuts, key).withColumn(x, kept).drop("upper_cut")
 
@@ -55,9 +62,9 @@ def replace_outliers(df: DataFrame, key: str, columns: list[str], k: float = 3,
     once for it, once for the few buckets that hold a cut point or a middle rank, and once for the result.
     """
     x = columns[0]
-    histogram = MomentHistogram(df, [key], columns)
-    cuts = stage(histogram.log_cutpoints(x, k), "cutpoints")
-    medians = stage(histogram.medians_below_cut(x, cuts, **median_options), "medians")
+    histogram = MomentHistogram(df, [key], columns, log=True)
+    cuts = stage(histogram.cut_points(k), "cutpoints")
+    medians = stage(histogram.medians_below_cut(cuts, **median_options), "medians")
     kept = outlier_log_sd(df, key, x, cuts=cuts)
     for column in columns[1:]:
         kept = blank_where_missing(kept, column, where=x)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.missing import round_half_even
-from larder.operators.histogram import MomentHistogram
-from larder.operators.joins import na_join
+from larder.functions.missing import nan_to_null, round_half_even
+from larder.operators.joins import na_join, na_lookup
+from larder.operators.quantiles import group_median
 from larder.sources.staging import stage
 
 
@@ -17,7 +17,7 @@ def top_items(cons: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     Rows are counted per item first, so the names join a table of items instead of the consumption rows.
     """
     counts = cons.groupBy("item_code").agg(F.count(F.lit(1)).alias("n"))
-    named = na_join(counts, items.select("item_code", "itemname"), "item_code")
+    named = na_lookup(counts, items.select("item_code", "itemname"), "item_code")
     pairs = named.groupBy("item_code", "itemname").agg(F.sum("n").alias("n"))
     return pairs.orderBy(F.desc("n"), F.asc_nulls_last("item_code"), F.asc_nulls_last("itemname")).limit(k)
 
@@ -27,17 +27,24 @@ def item_distribution(
 ) -> DataFrame:
     """Mean, standard deviation, median and row count of the ``k`` most frequent items.
 
-    One histogram of all rows gives counts and moments; only rows near the medians of the ``k`` items are read again.
+    Counts and moments of all items come from one aggregate; only the rows of the ``k`` items go on, to their medians.
     """
     pair = ["item_code", "itemname"]
-    histogram = MomentHistogram(cons, ["item_code"], [quantity])
-    named = na_join(histogram.moments(quantity), items.select(*pair), "item_code")
+    rows = cons.select("item_code", nan_to_null(f"double({quantity})").alias("x"))
+    moments = rows.groupBy("item_code").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("x").alias("n"),
+        F.avg("x").alias("mean"),
+        F.expr("var_pop(x) * count(x)").alias("square"),
+    )
+    named = na_lookup(moments, items.select(*pair), "item_code")
     # an item listed under one name several times has each of its rows as often
     pairs = named.groupBy(*pair, "rows", "n", "mean", "square").agg(F.count(F.lit(1)).alias("times"))
     pairs = pairs.withColumn("rows", F.col("rows") * F.col("times"))
     order = [F.desc("rows"), F.asc_nulls_last("item_code"), F.asc_nulls_last("itemname")]
     top = stage(pairs.orderBy(*order).limit(k), "top-items")
-    medians = histogram.medians(groups=top.select("item_code").distinct()).withColumnRenamed(quantity, "median")
+    own = stage(na_join(rows, top.select("item_code").distinct(), "item_code", "left_semi"), "top-rows")
+    medians = group_median(own, ["item_code"], ["x"]).withColumnRenamed("x", "median")
     spread = F.expr("CASE WHEN n * times > 1 THEN sqrt(square * times / (n * times - 1)) END")
     return na_join(top.withColumn("sd", spread), medians, "item_code").select(
         *pair,

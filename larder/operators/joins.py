@@ -37,6 +37,33 @@ def na_join(
     return joined.drop(*renamed.values())
 
 
+#: Rows without a key that a lookup may hold in ``na_lookup``.
+MOST_WITHOUT_KEY = 1000
+
+
+def na_lookup(left: DataFrame, right: DataFrame, on: str, most: int = MOST_WITHOUT_KEY) -> DataFrame:
+    """As ``na_join`` on one key, sharing the partitioning of the key with groupings and joins around it.
+
+    ``na_join`` compares NULL keys through two derived keys, which no ``groupBy`` of the key shares, so the join of two aggregates takes four
+    exchanges. Here rows with a key join by plain equality, and rows without one meet the lookup's rows without one, which arrive as a scalar: two
+    exchanges. More than ``most`` such rows in the lookup are an error.
+    """
+    extra = [c for c in right.columns if c != on]
+    clash = set(extra) & set(left.columns)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    key, entry = "__right_key", F.struct(*[F.col(f"`{c}`") for c in extra])
+    keyed = right.withColumnRenamed(on, key)
+    without = keyed.filter(F.col(key).isNull()).limit(most + 1).select(F.collect_list(entry).alias("rows"))
+    too_many = F.raise_error(F.lit(f"the lookup has over {most} rows without {on}"))
+    checked = without.select(F.when(F.size("rows") > most, too_many.cast(without.schema["rows"].dataType)).otherwise(F.col("rows"))).scalar()
+    joined = left.join(keyed.filter(F.col(key).isNotNull()), F.col(on) == F.col(key), "left")
+    own = F.array(entry)
+    met = F.when(F.col(on).isNull(), F.when(F.size(checked) > 0, checked).otherwise(own)).otherwise(own)
+    rows = joined.withColumn("__met", F.explode(met))
+    return rows.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col("__met")[c].alias(c) for c in extra])
+
+
 def without_keys(
     df: DataFrame, key_sets: Iterable[DataFrame], on: list[str], null_keys: bool | Collection[str] = True
 ) -> DataFrame:

@@ -34,11 +34,11 @@ MIDDLES: dict[str, Callable[[Column], Column]] = {
 BEYOND_EVERY_BUCKET = 1 << 20
 
 
-def bucket_of(x: str) -> Column:
-    """Monotone integer of a double: its sign and the binary logarithm of its size in steps of 1/64."""
+def bucket_of(x: str, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
+    """Monotone integer of a double: its sign and the binary logarithm of its size in ``per_octave`` steps."""
     size = (
         f"CASE WHEN abs({x}) = double('Infinity') THEN {BEYOND_EVERY_BUCKET}"
-        f" ELSE floor(log2(abs({x})) * {BUCKETS_PER_OCTAVE}) + {1100 * BUCKETS_PER_OCTAVE} END"
+        f" ELSE floor(log2(abs({x})) * {per_octave}) + {1100 * per_octave} END"
     )
     return F.expr(f"CAST(CASE WHEN {x} = 0 THEN 0 WHEN {x} > 0 THEN {size} ELSE -({size}) END AS INT)")
 
@@ -122,18 +122,19 @@ def _bucketed(base: DataFrame, group: list[str], targets: dict, largest_bucket:
 
 
 def resolve(
-    base: DataFrame, spot: DataFrame, group: list[str], place: list[str], names: list[str], largest_bucket: int = LARGEST_BUCKET
+    base: DataFrame, spot: DataFrame, group: list[str], place: list[str], names: list[str], largest_bucket: int | None = LARGEST_BUCKET
 ) -> DataFrame:
     """The wanted values, one column per name, from the stored rows (``place``, x, weight) of the buckets that hold them.
 
-    ``spot`` has a row per ``place``, name and target: the weight ``before`` the bucket, and its low, high and n.
+    ``spot`` has a row per ``place``, name and target: the weight ``before`` the bucket, and its low, high and n. Without
+    ``largest_bucket`` the buckets are known to be small, and none is looked at for splitting.
     """
     keys = [*place, "name", "target"]
 
     def candidates(spot: DataFrame) -> DataFrame:
         return na_join(base, spot, place, "inner").filter(F.col("x").between(F.col("low"), F.col("high")))
 
-    while _needs_split(spot, largest_bucket):
+    while largest_bucket is not None and _needs_split(spot, largest_bucket):
         parts = (
             candidates(spot)
             .withColumn("part", _split("x", "low", "high"))

@@ -55,7 +55,7 @@ def cuts_of(rows, k):
 
 def test_moments(case):
     rows, df = case
-    got = {r.item: r for r in MomentHistogram(df, ["item"], ["x", "y"]).moments("x").collect()}
+    got = {r.item: r for r in MomentHistogram(df, ["item"], ["x", "y"]).moments().collect()}
     for item in {r[1] for r in rows}:
         values = [x for _, i, x, _ in rows if i == item and known(x)]
         r = got[item]
@@ -69,7 +69,7 @@ def test_moments(case):
 def test_cut_points(case, k):
     rows, df = case
     want = cuts_of(rows, k)
-    for r in MomentHistogram(df, ["item"], ["x"]).log_cutpoints("x", k).collect():
+    for r in MomentHistogram(df, ["item"], ["x"], log=True).cut_points(k).collect():
         assert r.upper_cut == (pytest.approx(want[r.item]) if want.get(r.item) is not None else None)
 
 
@@ -115,7 +115,7 @@ def test_medians_of_some_groups(case):
 def test_an_empty_table(spark):
     df = spark.createDataFrame([], "id long, item string, x double, y double")
     assert cleaning.replace_outliers(df, "item", ["x", "y"]).isEmpty()
-    assert MomentHistogram(df, ["item"], ["x"]).moments("x").isEmpty()
+    assert MomentHistogram(df, ["item"], ["x"]).moments().isEmpty()
 
 
 def test_only_few_rows_are_stored(spark, case, monkeypatch):
@@ -125,8 +125,8 @@ def test_only_few_rows_are_stored(spark, case, monkeypatch):
 
     stored = {}
 
-    def counted(table, label):
-        stored[label] = (out := stage(table, label)).count()
+    def counted(table, label, **options):
+        stored[label] = (out := stage(table, label, **options)).count()
         return out
 
     monkeypatch.setattr(histogram, "stage", counted)

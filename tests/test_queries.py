@@ -51,18 +51,21 @@ def test_query_matches_sql(name, tables, con):
 
 
 def test_intake_shuffles_the_rows_once_after_a_partial_sum(tables):
-    text = plan(intake.apparent_intake(tables.cons, tables.fct, tables.hh))
+    cons = stage(tables.cons, "plain-rows")
+    text = plan(intake.apparent_intake(cons, tables.fct, tables.hh))
     assert len(re.findall(r"Exchange hashpartitioning\(hhid", text)) == 1
     assert "partial_sum(energy_kcal" in text and "SinglePartition" not in text
     scan = next(line for line in text.splitlines() if "FileScan parquet [hhid" in line and "quantity_100g" in line)
     assert "quantity_g#" not in scan and "food_group" not in scan
+    # and not at all where they lie in buckets of the household
+    assert "Exchange hashpartitioning(hhid" not in plan(intake.apparent_intake(tables.cons, tables.fct, tables.hh))
 
 
 def test_large_lookups_are_not_broadcast(spark, tables):
-    tables.cons, tables.fct, tables.hh  # stored before the threshold changes
+    cons, fct, hh = (stage(df, "plain") for df in (tables.cons, tables.fct, tables.hh))  # stored before the threshold changes
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(intake.apparent_intake(tables.cons, tables.fct, tables.hh))
+        text = plan(intake.apparent_intake(cons, fct, hh))
         assert "Broadcast" not in text
         # The sums and the join with the equivalents share one partitioning of the household id.
         assert len(re.findall(r"Exchange hashpartitioning\(hhid", text)) == 1

@@ -276,3 +276,40 @@ def test_the_grid_needs_one_household_exchange(small, spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(re.findall(r"Exchange hashpartitioning\(hhid", text)) == 1 and "Cartesian" not in text
+
+
+# NULL keys
+
+
+def test_lookups_match_null_keys_like_joins(spark):
+    from larder.operators.joins import na_join, na_lookup
+
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (None, "d"), (3, "e")], "k int, x string")
+    for rows in ([(1, 10, "p"), (None, 20, "q"), (None, 30, None), (2, None, "r"), (2, 5, "s")], [(1, 10, "p")], []):
+        right = spark.createDataFrame(rows, "k int, y int, z string")
+        got, want = na_lookup(left, right, "k"), na_join(left, right, "k")
+        assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    many = spark.createDataFrame([(None, i, "") for i in range(5)], "k int, y int, z string")
+    with pytest.raises(Exception, match="over 3 rows without k"):
+        na_lookup(left, many, "k", most=3).collect()
+    with pytest.raises(ValueError):
+        na_lookup(left, left, "k")
+
+
+def test_two_aggregates_meet_with_two_exchanges(spark, tmp_path):
+    from larder.operators.joins import na_join, na_lookup
+
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("nullif(id % 7, 3) as k", "id as v").write.parquet(path)
+    a = spark.read.parquet(path).groupBy("k").agg(F.sum("v").alias("a"))
+    b = spark.read.parquet(path).groupBy("k").agg(F.max("v").alias("b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = {fn: fn(a, b, "k")._jdf.queryExecution().executedPlan().toString() for fn in (na_join, na_lookup)}
+        assert na_lookup(a, b, "k").count() == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert texts[na_join].count("Exchange hashpartitioning") == 4
+    # lines of the subquery, which reads the lookup's rows without a key, begin with a bar
+    main = [line for line in texts[na_lookup].splitlines() if not line.startswith("      :")]
+    assert sum("Exchange hashpartitioning(k" in line for line in main) == 2 == sum("Exchange" in line for line in main)

@@ -174,7 +174,7 @@ def grid_counts(t: Tables):
 @query(f"""SELECT item_code, count(*) AS rows, count(quantity_g) AS n, {rnd('avg(quantity_g)', 4, 'mean')}, {rnd('stddev_samp(quantity_g)', 4, 'sd')},
     {rnd('min(quantity_g)', 4, 'low')}, {rnd('max(quantity_g)', 4, 'high')} FROM st_cons GROUP BY item_code""")
 def item_moments(t: Tables):
-    return rounded(MomentHistogram(t.cons, ["item_code"], ["quantity_g"]).moments("quantity_g").drop("square"))
+    return rounded(MomentHistogram(t.cons, ["item_code"], ["quantity_g"]).moments().drop("square"))
 
 
 # Batches, names, order, reuse

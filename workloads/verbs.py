@@ -205,6 +205,15 @@ def join_inner(t: Tables):
     return joins.na_join(t.pregnancies, eating, ["hhid", "indid"], "inner")
 
 
+@query("""SELECT k AS item, n, total FROM (SELECT nullif(item_code % 50, 7) AS k, count(*) AS n FROM st_cons GROUP BY 1) a LEFT JOIN
+    (SELECT nullif(item_code % 40, 7) AS j, count(*) AS total FROM st_cons GROUP BY 1) b ON k IS NOT DISTINCT FROM j""")
+def join_aggregates(t: Tables):
+    """Two aggregates whose keys may be NULL."""
+    a = t.cons.groupBy(F.expr("nullif(item_code % 50, 7)").alias("item")).agg(F.count(F.lit(1)).alias("n"))
+    b = t.cons.groupBy(F.expr("nullif(item_code % 40, 7)").alias("item")).agg(F.count(F.lit(1)).alias("total"))
+    return joins.na_lookup(a, b, "item")
+
+
 @query("SELECT item_id, item_desc FROM in_wave4 WHERE NOT EXISTS (SELECT 1 FROM in_wave5 WHERE itemcode = item_id)")
 def join_anti(t: Tables):
     return joins.na_join(t.wave4.select("item_id", "item_desc"), t.wave5, [("item_id", "itemcode")], "left_anti")

@@ -64,11 +64,11 @@ FROM {in_member} WHERE sex = 2 AND age BETWEEN 15 AND 49""",
 SELECT CAST(o_custkey AS STRING) AS hhid, 0.5e0 + o_custkey % 7 AS hhweight,
  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / (100e0 * count(*)) AS exp_pae
 FROM {orders} GROUP BY o_custkey""",
-    # Consumption: units 1 kg, 2 g, 20 other; a few reports are negative. Households in debt were interviewed with the old module.
+    # Consumption: units 1 kg, 2 g, 20 other; a few reports are negative, zero or a thousandfold. Households in debt were interviewed with the old module.
     "in_report": """
 SELECT CAST(o_custkey AS STRING) AS y5_hhid, l_partkey AS itemcode, CASE WHEN l_discount > 0.095e0 THEN 2 ELSE 1 END
  AS consumed, CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 2 ELSE 20 END AS unit,
- CASE WHEN l_returnflag = 'A' AND l_tax > 0.075e0 THEN NULL WHEN l_orderkey % 97 = 0 THEN l_quantity * 1000
+ CASE WHEN l_returnflag = 'A' AND l_tax > 0.075e0 THEN NULL WHEN l_orderkey % 97 = 0 THEN l_quantity * 1000 WHEN l_orderkey % 89 = 0 THEN 0
  WHEN l_tax < 0.005e0 AND l_quantity > 49 THEN -l_quantity ELSE l_quantity END AS quantity, l_quantity, l_linestatus, l_linenumber, c_acctbal < 0 AS old_module
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey""",
     "in_raw_new": """

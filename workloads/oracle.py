@@ -155,8 +155,9 @@ STEPS = {name: body.format(**{n: n for n in [*BASE_TABLES, *BODIES]}) for name,
  LEFT JOIN st_quintiles q ON d.hhid = q.hhid""",
     "st_per_afe": f"""SELECT c.hhid, item_code, food_group, afe, {div('quantity_g', 'afe')} AS quantity_g,
  {div('quantity_100g', 'afe')} AS quantity_100g FROM st_cons c LEFT JOIN st_hh h ON c.hhid = h.hhid""",
-    "st_cutpoints": """SELECT item_code, avg(log10(quantity_g)) + 3 * stddev_samp(log10(quantity_g)) AS upper_cut
- FROM st_per_afe WHERE quantity_g > 0 GROUP BY item_code""",
+    # The logarithm of a zero is -Infinity, so an item with a zero has no cut point and keeps its large quantities.
+    "st_cutpoints": """SELECT item_code, CASE WHEN NOT bool_or(quantity_g = 0) THEN avg(log10(quantity_g)) FILTER (WHERE quantity_g > 0)
+ + 3 * stddev_samp(log10(quantity_g)) FILTER (WHERE quantity_g > 0) END AS upper_cut FROM st_per_afe WHERE quantity_g >= 0 GROUP BY item_code""",
     "st_trimmed": """SELECT hhid, item_code, food_group, afe, g AS quantity_g, CASE WHEN g IS NOT NULL THEN quantity_100g END
  AS quantity_100g FROM (SELECT p.*, CASE WHEN quantity_g > 0 AND log10(quantity_g) > upper_cut THEN NULL ELSE quantity_g END AS g
  FROM st_per_afe p LEFT JOIN st_cutpoints u ON p.item_code IS NOT DISTINCT FROM u.item_code)""",

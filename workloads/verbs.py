@@ -23,18 +23,29 @@ from workloads.registry import query
 RENAMED = ", ".join(f"{raw} AS {new}" for raw, new in NEW_MODULE.items())
 RENAMED_OLD = ", ".join(f"{raw} AS {new}" for raw, new in OLD_MODULE.items())
 
+#: The reports of both modules under working names.
+BOTH = f"(SELECT 'new' AS module, {RENAMED} FROM in_raw_new UNION ALL BY NAME SELECT 'old' AS module, {RENAMED_OLD} FROM in_raw_old)"
+
+
+def both(t: Tables):
+    new = t.raw_new.withColumnsRenamed(NEW_MODULE).withColumn("module", F.lit("new"))
+    return joins.union_by_name(new, t.raw_old.withColumnsRenamed(OLD_MODULE).withColumn("module", F.lit("old")))
+
 
 # Sources and sinks
 
 
-@query("SELECT y5_hhid, itemcode, hh_ja01, hh_ja02_1, hh_ja02_2, hh_ja09_2 FROM in_raw_new")
+@query("SELECT y5_hhid, itemcode, hh_ja01, hh_ja02_1, hh_ja02_2, hh_ja09_2, NULL AS hh_j01, NULL AS hh_j02_2 FROM in_raw_new UNION ALL "
+       "SELECT y5_hhid, itemcode, NULL, NULL, NULL, NULL, hh_j01, hh_j02_2 FROM in_raw_old")
 def src_csv_na(t: Tables):
-    path = new_path(t.spark, "csv")
-    tables.write_csv_na(t.raw_new, path)
-    schema = tables.schema_of(
-        y5_hhid="string", itemcode="bigint", hh_ja01="int", hh_ja02_1="int", hh_ja02_2="double", hh_ja09_2="double"
-    )
-    return tables.read_csv_na(t.spark, path, schema)
+    key = {"y5_hhid": "string", "itemcode": "bigint"}
+    new = key | {"hh_ja01": "int", "hh_ja02_1": "int", "hh_ja02_2": "double", "hh_ja09_2": "double"}
+    back = []
+    for raw, columns in ((t.raw_new, new), (t.raw_old, key | {"hh_j01": "int", "hh_j02_2": "double"})):
+        path = new_path(t.spark, "csv")
+        tables.write_csv_na(raw, path)
+        back.append(tables.read_csv_na(t.spark, path, tables.schema_of(**columns)))
+    return joins.union_by_name(*back)
 
 
 @query(
@@ -93,9 +104,9 @@ def sink_append_partitioned(t: Tables):
 # Projections
 
 
-@query("SELECT y5_hhid, itemcode, hh_ja01, hh_ja02_1, hh_ja02_2 FROM in_raw_new")
+@query(f"SELECT hhid, item_code, consumed, unit, quantity FROM {BOTH}")
 def proj_select(t: Tables):
-    return t.raw_new.select("y5_hhid", "itemcode", "hh_ja01", "hh_ja02_1", "hh_ja02_2")
+    return both(t).select("hhid", "item_code", "consumed", "unit", "quantity")
 
 
 @query("SELECT hhid, adm1, adm2, ea, survey_wgt FROM in_cover")
@@ -103,20 +114,20 @@ def proj_drop(t: Tables):
     return t.cover.drop("rural", "int_month_year")
 
 
-@query("SELECT food_group, item_code FROM in_groups_new")
+@query("SELECT food_group, item_code FROM (SELECT * FROM in_groups_new UNION ALL SELECT * FROM in_groups_old)")
 def proj_reorder(t: Tables):
-    return first_columns(t.groups_new, "food_group")
+    return first_columns(joins.union_by_name(t.groups_new, t.groups_old), "food_group")
 
 
-@query(f"SELECT {RENAMED_OLD} FROM in_raw_old")
+@query(f"SELECT * FROM {BOTH}")
 def proj_rename(t: Tables):
-    return t.raw_old.withColumnsRenamed(OLD_MODULE)
+    return both(t)
 
 
 @query("SELECT *, quantity / 7 AS per_day, quantity / 7 / 100 AS per_day_100, quantity / 700 > 1 AS large FROM "
-       f"(SELECT {RENAMED_OLD} FROM in_raw_old)")
+       f"(SELECT hhid, item_code, consumed, unit, quantity FROM {BOTH})")
 def proj_mutate(t: Tables):
-    rows = t.raw_old.withColumnsRenamed(OLD_MODULE).withColumn("per_day", F.col("quantity") / 7)
+    rows = both(t).select("hhid", "item_code", "consumed", "unit", "quantity").withColumn("per_day", F.col("quantity") / 7)
     return rows.withColumn("per_day_100", F.col("per_day") / 100).withColumn("large", F.col("quantity") / 700 > 1)
 
 
@@ -134,14 +145,14 @@ def proj_cast_all(t: Tables):
 # Filters
 
 
-@query(f"SELECT {RENAMED} FROM in_raw_new WHERE hh_ja01 = 1")
+@query(f"SELECT * FROM {BOTH} WHERE consumed = 1")
 def filter_eq(t: Tables):
-    return t.raw_new.withColumnsRenamed(NEW_MODULE).filter(F.col("consumed") == 1)
+    return both(t).filter(F.col("consumed") == 1)
 
 
-@query(f"SELECT {RENAMED} FROM in_raw_new WHERE hh_ja09_1 <> 1")
+@query(f"SELECT * FROM {BOTH} WHERE unit <> 1")
 def filter_ne(t: Tables):
-    return t.raw_new.withColumnsRenamed(NEW_MODULE).filter(F.col("weighed_unit") != 1)
+    return both(t).filter(F.col("unit") != 1)
 
 
 @query("SELECT hhid, indid, sex, age FROM in_roster WHERE age >= 2 AND age <= 53")
@@ -179,23 +190,22 @@ def dq_lookup_keys(t: Tables):
 # Joins
 
 
-@query("""SELECT y5_hhid, itemcode, hh_ja02_2, edible_portion FROM in_raw_new LEFT JOIN st_edible
-    ON itemcode IS NOT DISTINCT FROM item_code""")
+@query(f"""SELECT hhid, b.item_code, quantity, edible_portion FROM {BOTH} b LEFT JOIN st_edible e
+    ON b.item_code IS NOT DISTINCT FROM e.item_code""")
 def join_left(t: Tables):
-    rows = t.raw_new.select("y5_hhid", "itemcode", "hh_ja02_2")
-    return joins.na_join(rows, t.edible, [("itemcode", "item_code")])
+    return joins.na_join(both(t).select("hhid", "item_code", "quantity"), t.edible, "item_code")
 
 
-@query("""SELECT y5_hhid, itemcode AS item_code, hh_ja09_1 AS unit, conv_fac FROM in_raw_new LEFT JOIN in_conv_new u
-    ON itemcode IS NOT DISTINCT FROM u.item_code AND hh_ja09_1 IS NOT DISTINCT FROM u.unit""")
+@query(f"""SELECT hhid, b.item_code, b.unit, quantity, conv_fac FROM {BOTH} b LEFT JOIN in_conv_new u
+    ON b.item_code IS NOT DISTINCT FROM u.item_code AND b.unit IS NOT DISTINCT FROM u.unit""")
 def join_left_composite(t: Tables):
-    rows = t.raw_new.select("y5_hhid", F.col("itemcode").alias("item_code"), F.col("hh_ja09_1").alias("unit"))
-    return joins.na_join(rows, t.conv_new, ["item_code", "unit"])
+    return joins.na_join(both(t).select("hhid", "item_code", "unit", "quantity"), t.conv_new, ["item_code", "unit"])
 
 
-@query("SELECT y5_hhid, itemcode, hh_j02_2, res FROM in_raw_old LEFT JOIN st_dates ON y5_hhid IS NOT DISTINCT FROM hhid")
+@query("""SELECT y5_hhid, itemcode, res FROM (SELECT y5_hhid, itemcode FROM in_raw_old UNION ALL SELECT y5_hhid, itemcode FROM in_raw_new)
+    LEFT JOIN st_dates ON y5_hhid IS NOT DISTINCT FROM hhid""")
 def join_left_renamed(t: Tables):
-    rows = t.raw_old.select("y5_hhid", "itemcode", "hh_j02_2")
+    rows = t.raw_old.select("y5_hhid", "itemcode").unionByName(t.raw_new.select("y5_hhid", "itemcode"))
     return joins.na_join(rows, t.residences, [("y5_hhid", "hhid")])
 
 
@@ -222,10 +232,9 @@ def join_anti(t: Tables):
 # Aggregations
 
 
-@query(f"SELECT hhid, {rnd('coalesce(sum(quantity_g), 0)', 2, 'quantity_g')} FROM st_resolved GROUP BY hhid")
+@query(f"SELECT hhid, {rnd('coalesce(sum(quantity_g), 0)', 2, 'quantity_g')} FROM st_daily GROUP BY hhid")
 def agg_sum_zero(t: Tables):
-    new = consumption.prepare_consumption(t.raw_new, t.items, t.edible, t.conv_new)
-    rows = consumption.quantity_resolution(new, t.conv_new)
+    rows = daily_consumption(t.new_module, t.old_module)
     return rounded(rows.groupBy("hhid").agg(missing.sum_or_zero("quantity_g").alias("quantity_g")), 2)
 
 
@@ -246,15 +255,15 @@ def agg_mean(t: Tables):
     return rounded(rows.groupBy("sex", "age").agg(F.avg("weight").alias("mean_weight")))
 
 
-@query(f"SELECT itemcode, {rnd('stddev_samp(hh_ja02_2)', name='sd')} FROM in_raw_new GROUP BY itemcode")
+@query(f"SELECT item_code, {rnd('stddev_samp(quantity)', name='sd')} FROM {BOTH} GROUP BY item_code")
 def agg_sd(t: Tables):
-    return rounded(t.raw_new.groupBy("itemcode").agg(F.stddev_samp("hh_ja02_2").alias("sd")))
+    return rounded(both(t).groupBy("item_code").agg(F.stddev_samp("quantity").alias("sd")))
 
 
-@query(f"SELECT itemcode, {rnd('median(hh_ja02_2)', name='hh_ja02_2')}, {rnd('median(hh_ja09_2)', name='hh_ja09_2')} "
-       "FROM in_raw_new GROUP BY itemcode HAVING count(hh_ja02_2) + count(hh_ja09_2) > 0")
+@query(f"SELECT item_code, {rnd('median(quantity)', name='quantity')}, {rnd('median(weighed_quantity)', name='weighed_quantity')} "
+       f"FROM {BOTH} GROUP BY item_code HAVING count(quantity) + count(weighed_quantity) > 0")
 def agg_median(t: Tables):
-    return rounded(quantiles.group_median(t.raw_new, ["itemcode"], ["hh_ja02_2", "hh_ja09_2"]))
+    return rounded(quantiles.group_median(both(t), ["item_code"], ["quantity", "weighed_quantity"]))
 
 
 @query("SELECT item_code, food_group, count(*) AS n FROM st_cons GROUP BY item_code, food_group")
@@ -290,11 +299,11 @@ def weighted_quantile_by(t: Tables):
 # Grouped values on rows, sorting, sets
 
 
-@query(f"""SELECT y5_hhid, itemcode, {rnd('coalesce(hh_ja02_2, median(hh_ja02_2) OVER (PARTITION BY itemcode))', name='hh_ja02_2')}
-    FROM in_raw_new""")
+@query(f"""SELECT hhid, item_code, {rnd('coalesce(quantity, median(quantity) OVER (PARTITION BY item_code))', name='quantity')}
+    FROM {BOTH}""")
 def window_group_median(t: Tables):
-    rows = t.raw_new.select("y5_hhid", "itemcode", "hh_ja02_2")
-    return rounded(impute_group_median(rows, "itemcode", ["hh_ja02_2"]))
+    rows = both(t).select("hhid", "item_code", "quantity")
+    return rounded(impute_group_median(rows, "item_code", ["quantity"]))
 
 
 @query(f"SELECT *, NULL AS quantity FROM (SELECT hhid, item_code, {rnd('quantity_g')} FROM st_resolved) UNION ALL SELECT hhid, "
@@ -373,9 +382,10 @@ def fn_safe_div(t: Tables):
     return rounded(rows.select("l_orderkey", "l_partkey", missing.safe_div("l_discount", "l_tax").alias("ratio")), 6)
 
 
-@query("SELECT y5_hhid, itemcode, round_even(hh_ja02b_2, 1) AS tenths FROM in_raw_new")
+@query(f"SELECT hhid, item_code, round_even(coalesce(est_metric_quantity, quantity / 8), 1) AS tenths FROM {BOTH}")
 def fn_round_even(t: Tables):
-    return t.raw_new.select("y5_hhid", "itemcode", missing.round_half_even("hh_ja02b_2", 1).alias("tenths"))
+    rows = both(t).withColumn("x", F.expr("coalesce(est_metric_quantity, quantity / 8)"))
+    return rows.select("hhid", "item_code", missing.round_half_even("x", 1).alias("tenths"))
 
 
 @query(f"""SELECT itemname, {', '.join(f'TRY_CAST({raw} AS DOUBLE) AS {raw}' for raw in SHEET)} FROM in_wave5""")

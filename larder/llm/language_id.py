@@ -71,7 +71,8 @@ class Words:
 
     @staticmethod
     def of(words: list[bytes], table: np.ndarray) -> Words:
-        text = "\x00\x00" + "\x00\x00".join([w.decode() for w in words]) + "\x00\x00"
+        # U+0000 marks the edges of words; one inside a word is a sign like any other
+        text = "\x00\x00" + "\x00\x00".join([w.decode().replace("\x00", "\x01") for w in words]) + "\x00\x00"
         codes = np.frombuffer(text.lower().encode("utf-32-le"), "<u4").astype(np.int64)
         kind = table[np.minimum(codes, 0xFFFF)]
         for i in np.flatnonzero(codes > 0xFFFF).tolist():

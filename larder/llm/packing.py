@@ -17,7 +17,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,14 +26,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import stage, with_rows
+from larder.llm.common import stage, tidy, with_rows
 
 CAPACITY = 2048
 END_ID = 1
 #: A piece may be this much shorter than its class allows: tokens, or a share of the class size.
 SLACK, SLACK_SHARE = 2, 1 / 64
-#: Words that a task remembers the ids of; the memory is emptied when full.
-REMEMBERED = 400_000
+#: Bytes of words, and of their parts, that a task remembers with their ids; each memory is emptied when full. ``ENTRY`` is what an entry takes
+#: beside its key and its ids.
+REMEMBERED, ENTRY = 110_000_000, 200
+#: Bytes of ids from which the pieces made so far are passed on.
+PASSED_ON = 8_000_000
 
 #: Lower-case letters whose words need no normalising: ASCII and Latin-1.
 PLAIN = frozenset("abcdefghijklmnopqrstuvwxyz\u00df") | frozenset(chr(c) for c in range(0xE0, 0x100) if c != 0xF7)
@@ -44,22 +47,24 @@ PUNCTUATION = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
 class Memory(dict):
-    """What ``make`` gives for a key, made once."""
+    """What ``make`` gives for a key, made once. What is held is bounded in bytes: see ``trim``."""
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.size = make, 0
 
     def __missing__(self, key: bytes) -> bytes:
         value = self[key] = self.make(key)
+        self.size += ENTRY + len(key) + len(value)
         return value
 
+    def trim(self, most: int) -> None:
+        if self.size > most:
+            self.clear()
+            self.size = 0
 
-class WordTokenizer:
-    """Token ids of texts by a byte-level word tokenizer that lowers case and drops white space.
 
-    A text's ids are its words' ids one after another, so every word is tokenized once. Words that differ in ASCII case or in
-    closing punctuation share their parts; a plain word goes straight to the tokenizer's model, any other through all its steps.
-    """
+class Model:
+    """Token ids of a part of a word."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,19 +72,8 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.parts, self.known = Memory(self.encode), Memory(self.word)
 
-    def word(self, word: bytes) -> bytes:
-        """The tokenizer cuts between a letter or digit and punctuation. A word that may hold a special token stays whole."""
-        if b"<|" in word:
-            return self.parts[word]
-        word = word.lower()
-        stem = word.rstrip(PUNCTUATION)
-        if stem != word and stem[-1:].isalnum():
-            return self.parts[stem] + self.parts[word[len(stem) :]]
-        return self.parts[word]
-
-    def encode(self, part: bytes) -> bytes:
+    def __call__(self, part: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         text = part.decode()
         lower = text.lower()
@@ -90,13 +84,42 @@ class WordTokenizer:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __call__(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
-        """The ids of each text; of a null text none."""
-        for text in texts:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-                self.parts.clear()
-            yield b"".join(map(self.known.__getitem__, (text or b"").split()))
+
+class Words:
+    """Token ids of a word from those of its parts. The tokenizer cuts between a letter or digit and punctuation; a word that may hold a
+    special token stays whole."""
+
+    def __init__(self, parts: Memory):
+        self.parts = parts
+
+    def __call__(self, word: bytes) -> bytes:
+        if b"<|" in word:
+            return self.parts[word]
+        word = word.lower()
+        stem = word.rstrip(PUNCTUATION)
+        if stem != word and stem[-1:].isalnum():
+            return self.parts[stem] + self.parts[word[len(stem) :]]
+        return self.parts[word]
+
+
+class WordTokenizer:
+    """Token ids of texts by a byte-level word tokenizer that lowers case and drops white space.
+
+    A text's ids are its words' ids one after another, so every word is tokenized once. Words that differ in ASCII case or in
+    closing punctuation share their parts; a plain word goes straight to the tokenizer's model, any other through all its steps.
+    Model, parts and words refer to each other in one direction only, so all of it goes as soon as the tokenizer does.
+    """
+
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
+        self.parts = Memory(Model(path))
+        self.known = Memory(Words(self.parts))
+
+    def __call__(self, text: bytes | None) -> bytes:
+        """The ids of a text; of a null text none."""
+        self.known.trim(self.remembered)
+        self.parts.trim(self.remembered)
+        return b"".join(map(self.known.__getitem__, (text or b"").split()))
 
 
 def cut(n: int, capacity: int = CAPACITY) -> Iterator[tuple[int, int]]:
@@ -120,7 +143,7 @@ def piece_schema(with_ids: bool) -> str:
     return f"doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, per int, task int, number bigint{ids}"
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, with_ids: bool) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, with_ids: bool, remembered: int) -> DataFrame:
     """The pieces of every document, numbered by class within the task that made them."""
     end = np.array([END_ID], dtype="<u4").tobytes()
     names = [part.split()[0] for part in piece_schema(with_ids).split(", ")]
@@ -128,13 +151,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, with_ids: bool)
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenize = WordTokenizer(tokenizer_path)
+        tokenize = WordTokenizer(tokenizer_path, remembered)
         task = TaskContext.get().partitionId()
         numbers: dict[int, int] = {}
+        columns: list[list] = [[] for _ in names]
+        held = 0
         for batch in batches:
-            columns: list[list] = [[] for _ in names]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokenize(t.as_py() for t in batch.column("text")), strict=True):
-                ids += end
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                doc_id, ids = doc_id.as_py(), tokenize(text.as_py()) + end
                 n, start = len(ids) // 4, 0
                 for length, per in cut(n, capacity):
                     own = ids[4 * start : 4 * (start + length)]
@@ -144,9 +168,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, with_ids: bool)
                     for column, value in zip(columns, row, strict=False):
                         column.append(value)
                     start += length
+                held += len(ids)
+                if held >= PASSED_ON:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], schema=schema)
+                    columns, held = [[] for _ in names], 0
+        if columns[0]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], schema=schema)
 
-    return docs.mapInArrow(run, piece_schema(with_ids))
+    return docs.mapInArrow(tidy(run), piece_schema(with_ids))
 
 
 def first_fit(capacity: int):
@@ -168,18 +197,18 @@ def first_fit(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, 32-bit little-endian).
 
     ``docs`` has doc_id and text; other columns don't matter. A null, empty or blank text is a document of the end id alone.
     Repeated rows are documents of their own. An empty table gives an empty result. A piece is at most ``capacity`` long; every
     id of a document, its end id included, lies in one piece. Pieces are stored once, so sequences are whole even if a task that
-    made them runs again elsewhere.
+    made them runs again elsewhere. A task remembers words in twice ``remembered`` bytes; less costs time only.
     """
     rows = with_rows(docs).select(
         F.col("row")["doc_id"].cast("bigint").alias("doc_id"), F.col("row")["text"].cast("binary").alias("text")
     )
-    made = stage(pieces(rows, tokenizer_path, capacity, with_ids), "pieces")
+    made = stage(pieces(rows, tokenizer_path, capacity, with_ids, remembered), "pieces")
     counts = made.groupBy("per", "task").agg(F.count("*").alias("n"))
     by_task = Window.partitionBy("per").orderBy("task")
     counts = stage(counts.withColumn("before", F.sum("n").over(by_task) - F.col("n")), "piece-counts")

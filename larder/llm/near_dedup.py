@@ -8,13 +8,17 @@ The forest is several orders of one signature: order ``t`` sorts documents by th
 shares the first ``ROOT`` values. In a region of up to ``SMALL`` documents all are candidates of each other. In a larger one the depth
 adapts: a document's candidates are its ``NEAR`` neighbours, those with the longest common prefix.
 
-Neighbours alone would leave out a link of a large region, say of one text and its thousand copies with different edits. So large
-regions are taken up again: every document of another component is a candidate of the region's hub, the one with the most
-neighbours that look alike enough, and this goes on with further hubs until they find no link. No region is paired with itself.
+What the neighbours of a large region connect is one component, and nothing needs to be known inside it. Where a region still holds several
+components, its documents are taken up again with exact keys. Two sets of similarity ``s`` have ``s / (1 + s)`` of their summed sizes in common, so
+in one order of all shingles, rarest first, their first common shingle is among the first ``size - common + 1`` of both. A document emits
+that many shingles for each class of partner sizes; the finer the classes, the fewer. Documents that share a key with few others are paired. Where many
+share one, as edits of one text do that are just too far apart, their sets go to tasks in blocks, every two blocks to one, and only links come
+back: no pair is made. Components are found again at the end.
 
 Candidates are links only after an exact check on the full sets.
 
-A pair of similarity 0.8 shares the first 4 values in none of the 24 orders with probability (1 - 0.8 ** 4) ** 24 = 3e-6.
+A pair of similarity 0.8 shares the first 4 values in none of the 24 orders with probability (1 - 0.8 ** 4) ** 24 = 3e-6. Candidates whose signatures
+agree by ``DEVIATIONS`` standard deviations less than the threshold are not checked, which loses a link with probability 3e-8.
 """
 
 from __future__ import annotations
@@ -27,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import stage, with_rows
+from larder.llm.common import stage, tidy, with_rows
 from larder.llm.graph import components
-from larder.llm.shingles import Powers, Windows, blocks, mix
+from larder.llm.shingles import Powers, Windows, mix, text_blocks
 
 SHINGLE = 5
 THRESHOLD = 80  # per cent
@@ -38,10 +42,11 @@ SIZE = ORDERS * ROOT
 SMALL, NEAR = 12, 3
 #: Bytes of text that a task hashes at once.
 BLOCK = 1_000_000
-#: Candidates whose signatures agree in a smaller share are not checked: at 0.8 that is over five standard deviations away.
-LEAST_AGREEMENT = 0.58
-#: So many hubs of a region are tried at least, one in each turn.
-LEAST_TURNS = 3
+DEVIATIONS = 5.4
+#: Sizes of a class differ by this factor at most; numbers that shingles are counted under, to order them.
+CLASS_RATIO, COUNTERS = 1.03, 1 << 18
+#: Documents of a key that are paired one by one; of more, sets and shingles that a block holds, and columns of a matrix.
+TOGETHER, BLOCK_SETS, BLOCK_CELLS, COLUMNS = 32, 1024, 1_000_000, 2048
 SEEDS = mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64))
 FACTORS = (SEEDS[:SIZE] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 ROUND = np.uint32(0x2C1B3C6D)
@@ -69,14 +74,12 @@ def sketch(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            ids = batch.column("doc_id").to_pylist()
-            for a, b in blocks(texts, BLOCK):
-                sets = Windows([(t or b"").lower() for t in texts[a:b]], powers).sets(shingle)
+            for a, texts in text_blocks(batch.column("text"), BLOCK):
+                sets = Windows([(t or b"").lower() for t in texts], powers).sets(shingle)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 rows = dict(zip(full, signatures([sets[i] for i in full]), strict=True)) if full else {}
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(ids[a:b], pa.int64()),
+                    "doc_id": batch.column("doc_id").slice(a, len(texts)),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "print": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     "signature": pa.array([rows[i].astype(">u4").tobytes() if i in rows else None for i in range(len(sets))], pa.binary()),
@@ -107,25 +110,102 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"a": pa.array(found[0]), "b": pa.array(found[1])})
 
 
-def agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def agreement(threshold: int):
     """Keeps the pairs whose signatures agree often enough, with the share that agrees."""
+    least = threshold / 100 - DEVIATIONS * (threshold / 100 * (1 - threshold / 100) / SIZE) ** 0.5
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, SIZE) for c in ("x", "y"))
+                share = (x == y).mean(axis=1)
+                batch = batch.select(["a", "b"]).append_column("share", pa.array(share))
+                yield batch.filter(pa.array(share >= least))
+
+    return run
+
+
+def size_classes(most: int = 1 << 40) -> np.ndarray:
+    """The smallest size of each class."""
+    firsts = [1]
+    while firsts[-1] < most:
+        firsts.append(max(firsts[-1] + 1, int(firsts[-1] * CLASS_RATIO)))
+    return np.array(firsts)
+
+
+def counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(11)).astype(np.int64) % COUNTERS
+
+
+def count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(counter, n) of the sets of a task."""
+    counts = np.zeros(COUNTERS, np.int64)
     for batch in batches:
-        if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, SIZE) for c in ("x", "y"))
-            share = (x == y).mean(axis=1)
-            batch = batch.select(["a", "b"]).append_column("share", pa.array(share))
-            yield batch.filter(pa.array(share >= LEAST_AGREEMENT))
+        for s in batch.column("set"):
+            at, n = np.unique(counter(np.frombuffer(s.as_buffer(), np.uint64)), return_counts=True)
+            counts[at] += n
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_pydict({"counter": pa.array(at), "n": pa.array(counts[at])})
+
+
+def first_shingles(n: int, threshold: int, firsts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(class of the smaller set, class of the larger, shingles to emit) for a set of ``n``, as the smaller of a pair and as the larger."""
+    own, low, high = np.searchsorted(firsts, [n, -(-n * threshold // 100), n * 100 // threshold], "right") - 1
+
+    def emitted(partner: int) -> int:
+        common = -(-threshold * (n + partner) // (100 + threshold))
+        return max(n - common + 1, 0)
+
+    for c in range(own, high + 1):
+        yield own, c, emitted(max(int(firsts[c]), n))
+    for c in range(low, own + 1):
+        yield c, own, emitted(max(int(firsts[c]), -(-n * threshold // 100)))
+
+
+def exact_keys(threshold: int, counts: np.ndarray):
+    """(key, id, component, size): the rarest shingles of each set, as many as a link with a set of each class of sizes needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts = size_classes()
+        held, ids, components_, cells, size = [], [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            sizes = [len(k) for k in held]
+            out = {"key": pa.array(np.concatenate(held))}
+            for name, values in (("id", ids), ("component", components_), ("size", cells)):
+                out[name] = pa.array(np.repeat(values, sizes))
+            for values in (held, ids, components_, cells):
+                values.clear()
+            return pa.RecordBatch.from_pydict(out)
+
+        for batch in batches:
+            for i, own, s in zip(batch.column("id"), batch.column("component"), batch.column("set"), strict=True):
+                values = np.frombuffer(s.as_buffer(), np.uint64)
+                values = values[np.lexsort((values, counts[counter(values)]))]
+                parts = []
+                for small, large, n in first_shingles(len(values), threshold, firsts):
+                    parts.append(mix(values[:n] ^ mix(np.array([small * 4096 + large + 1], np.uint64))[0]))
+                held.append(np.unique(np.concatenate(parts)).view(np.int64))
+                ids.append(i.as_py())
+                components_.append(own.as_py())
+                cells.append(len(values))
+                size += len(held[-1])
+                if size >= BLOCK:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
+
+    return run
 
 
 def full_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            ids = batch.column("id").to_pylist()
-            for a, b in blocks(texts, BLOCK):
-                sets = [s.tobytes() for s in Windows([(t or b"").lower() for t in texts[a:b]], powers).sets(shingle)]
-                yield pa.RecordBatch.from_pydict({"id": pa.array(ids[a:b], pa.int64()), "set": pa.array(sets, pa.binary())})
+            for a, texts in text_blocks(batch.column("text"), BLOCK):
+                sets = [s.tobytes() for s in Windows([(t or b"").lower() for t in texts], powers).sets(shingle)]
+                yield pa.RecordBatch.from_pydict({"id": batch.column("id").slice(a, len(texts)), "set": pa.array(sets, pa.binary())})
 
     return run
 
@@ -143,18 +223,52 @@ def confirmed(threshold: int):
     return run
 
 
+def links_in_block(threshold: int):
+    """The links of two blocks of sets (own = i and own = j), or of one (i = j), between different components: common shingles are counted by
+    products of matrices, some columns at a time. A shingle of one set only is in no intersection and gets no column."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("set")]
+        own, ids, component = (table.column(c).to_numpy() for c in ("own", "id", "component"))
+        size = np.array([len(s) for s in sets])
+        first = np.flatnonzero(own == table.column("i")[0].as_py())
+        second = np.flatnonzero(own == table.column("j")[0].as_py())
+        _, column, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        place = np.cumsum(n > 1) - 1
+        row, shared = np.repeat(np.arange(len(sets)), size), (n > 1)[column]
+        row, column = row[shared], place[column[shared]]
+        both = np.zeros((len(first), len(second)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for begin in range(0, int(place[-1]) + 1, COLUMNS):
+            x, y = np.searchsorted(column, [begin, begin + COLUMNS])
+            part = np.zeros((len(sets), COLUMNS), np.float32)
+            part[row[x:y], column[x:y] - begin] = 1
+            both += part[first] @ part[second].T
+        linked = 100 * both >= threshold * (size[first][:, None] + size[second][None, :] - both)
+        linked &= component[first][:, None] != component[second][None, :]
+        a, b = np.nonzero(linked)
+        a, b = ids[first[a]], ids[second[b]]
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    return run
+
+
 def link(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (it is its own).
 
     ``docs`` has doc_id and text; other columns don't matter. A document without words has no shingles and no link; one with fewer
     words than a shingle has its whole sequence as its one. Rows of one doc_id are one document. A null doc_id is linked with
-    nothing: its component_id is null and it is kept. An empty table gives an empty result.
+    nothing: its component_id is null and it is kept. An empty table gives an empty result. ``threshold`` is over 50 per cent.
     """
+    if not 50 < threshold <= 100:
+        raise ValueError("sets of one shingle can be linked with others only up to a threshold of 50 per cent, which is not looked for")
     rows = with_rows(docs).select(
         F.col("row")["doc_id"].cast("bigint").alias("doc_id"), F.col("row")["text"].cast("binary").alias("text")
     )
     schema = "doc_id bigint, n_shingles bigint, print binary, signature binary"
-    sketches = stage(rows.mapInArrow(sketch(shingle), schema), "sketches")
+    sketches = stage(rows.mapInArrow(tidy(sketch(shingle)), schema), "sketches")
     known = sketches.filter("doc_id is not null and n_shingles > 0")
     copies = known.groupBy("print").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = stage(copies.select("print", "first"), "copies")
@@ -167,29 +281,29 @@ def link(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
     key = F.concat(F.unhex(F.lpad(F.hex("t"), 2, "0")), F.substring(doubled, F.col("t") * 4 * ROOT + 1, F.lit(4 * DEPTH)))
     forest = nodes.withColumn("t", order).select("id", key.alias("key"))
     in_order = forest.repartitionByRange("key").sortWithinPartitions("key")
-    near = in_order.mapInArrow(neighbours, "a bigint, b bigint").distinct()
+    near = in_order.mapInArrow(tidy(neighbours), "a bigint, b bigint").distinct()
 
     sides = [nodes.select(F.col("id").alias(i), F.col("signature").alias(s)) for i, s in (("a", "x"), ("b", "y"))]
 
     def likely(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y")
-        return joined.mapInArrow(agreement, "a bigint, b bigint, share double")
+        return joined.mapInArrow(tidy(agreement(threshold)), "a bigint, b bigint, share double")
 
     candidates = stage(likely(near), "candidates")
     root = F.xxhash64("t", F.substring(doubled, F.col("t") * 4 * ROOT + 1, F.lit(4 * ROOT)))
     regions = nodes.withColumn("t", order).select("id", root.alias("region"))
-    large = stage(regions.groupBy("region").count().filter(F.col("count") > SMALL).select("region"), "large-regions")
+    large = regions.groupBy("region").count().filter(F.col("count") > SMALL).select("region")
     members = stage(regions.join(large, "region"), "members")
 
     # the full sets of all documents that can be in a pair, from one pass over the texts
     wanted = candidates.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct()
     texts = rows.withColumnRenamed("doc_id", "id").join(stage(wanted, "wanted"), "id", "left_semi")
-    sets = stage(texts.mapInArrow(full_sets(shingle), "id bigint, set binary"), "sets")
+    sets = stage(texts.mapInArrow(tidy(full_sets(shingle)), "id bigint, set binary"), "sets")
     full = [sets.select(F.col("id").alias(i), F.col("set").alias(s)) for i, s in (("a", "x"), ("b", "y"))]
 
     def check(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(full[0], "a").join(full[1], "b").select("a", "b", "x", "y")
-        return stage(joined.mapInArrow(confirmed(threshold), "a bigint, b bigint").distinct(), "links")
+        return stage(joined.mapInArrow(tidy(confirmed(threshold)), "a bigint, b bigint").distinct(), "links")
 
     def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
         """The pairs that are not in one component yet."""
@@ -201,31 +315,37 @@ def link(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
     best = [candidates.groupBy(e).agg(F.max_by(o, F.struct("share", o)).alias(o)).select("a", "b") for e, o in (("a", "b"), ("b", "a"))]
     links = check(best[0].unionByName(best[1]).distinct())
     joined = stage(components(links), "components")
-    links = stage(links.unionByName(check(apart(candidates, joined))).distinct(), "all-links")
+    links = links.unionByName(check(apart(candidates, joined)))
     joined = stage(components(links), "components")
 
-    # large regions: every document against the hubs, until the hubs tell nothing new
-    near_enough = candidates.filter(F.col("share") >= threshold / 100).select(F.explode(F.array("a", "b")).alias("id"))
-    degrees = stage(near_enough.groupBy("id").agg(F.count("*").alias("degree")), "degrees")
-    members = stage(members.join(degrees, "id", "left").select("region", "id", F.coalesce("degree", F.lit(0)).alias("degree")), "members")
-    turn = 0
-    while members.limit(1).count():
-        placed = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        hub = F.max(F.struct("degree", "id", "component")).alias("hub")
-        hubs = stage(placed.groupBy("region").agg(hub).select("region", F.col("hub.id").alias("hub"), F.col("hub.component").alias("of")), "hubs")
-        pairs = placed.join(hubs, "region").filter("component <> of").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-        new = check(stage(likely(pairs.distinct()), "hub-candidates"))
-        if new.limit(1).count():
-            links = stage(links.unionByName(new.select("a", "b")), "all-links")
-            joined = stage(components(links), "components")
-        elif turn >= LEAST_TURNS:
-            break
-        # go on with other hubs where documents of a region are linked at all, but not all of them
-        placed = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        sizes = placed.groupBy("region", "component").agg(F.count("*").alias("n"))
-        open_ = sizes.groupBy("region").agg(F.max("n").alias("most"), F.sum("n").alias("all")).filter("most > 1 and most < all").select("region")
-        left = members.join(open_, "region").join(hubs.select("region", F.col("hub").alias("id")), ["region", "id"], "left_anti")
-        members, turn = stage(left.select("region", "id", "degree"), "members"), turn + 1
+    # large regions that hold several components: exact keys for their documents
+    placed = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    several = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("region")
+    open_ = stage(placed.join(several, "region").select("id", "component").distinct(), "open-nodes")
+    met = stage(sets.join(open_, "id"), "open-sets")
+    counts = np.zeros(COUNTERS, np.int64)
+    for row in met.select("set").mapInArrow(tidy(count_shingles), "counter bigint, n bigint").groupBy("counter").agg(F.sum("n").alias("n")).collect():
+        counts[row["counter"]] = row["n"]  # at most ``COUNTERS`` rows
+    keys = stage(met.mapInArrow(tidy(exact_keys(threshold, counts)), "key bigint, id bigint, component bigint, size bigint"), "exact-keys")
+    agg = [F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum("size").alias("cells")]
+    mixed = keys.groupBy("key").agg(*agg).filter("low < high").select("key", "n", "cells")
+    keys = stage(keys.join(mixed, "key"), "mixed-keys")
+
+    few = keys.filter(F.col("n") <= TOGETHER)
+    a, b = (few.select("key", F.col("id").alias(i), F.col("component").alias(f"{i}_in")) for i in "ab")
+    exact = likely(a.join(b, "key").filter("a < b and a_in <> b_in").select("a", "b").distinct())
+    more = check(exact.select("a", "b"))
+
+    # longer lists: blocks of documents, every two of which meet in a task of their own with their sets, and only links come out
+    blocks_ = F.greatest(F.ceil(F.col("cells") / BLOCK_CELLS), F.ceil(F.col("n") / BLOCK_SETS)).cast("int")
+    many = keys.filter(F.col("n") > TOGETHER).withColumn("blocks", blocks_).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    many = many.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component")
+    met = met.select("id", "set").join(many, "id").groupBy("key", "i", "j")
+    inside = met.applyInArrow(links_in_block(threshold), "a bigint, b bigint")
+    more = stage(more.unionByName(inside).distinct(), "exact-links")
+    if more.limit(1).count():
+        joined = stage(components(links.unionByName(more)), "components")
 
     labels = joined.withColumnRenamed("id", "first").withColumnRenamed("component", "label")
     out = sketches.select("doc_id", "n_shingles", "print").join(copies, "print", "left")

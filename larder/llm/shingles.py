@@ -107,3 +107,11 @@ def blocks(values: Sequence[bytes | None], limit: int = 4_000_000):
             at, total = i + 1, 0
     if at < len(values):
         yield at, len(values)
+
+
+def text_blocks(column, limit: int, rows: int = 512):
+    """(first row, texts) of blocks of an Arrow column, of about ``limit`` bytes and at most ``rows`` rows, so that only these are Python values."""
+    for first in range(0, len(column), rows):
+        texts = column.slice(first, rows).to_pylist()
+        for a, b in blocks(texts, limit):
+            yield first + a, texts[a:b]

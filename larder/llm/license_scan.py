@@ -1,7 +1,8 @@
 """License scan: a trained paragraph classifier whose predictions are confirmed against templates.
 
 Lines of text are paragraphs, and so is each seam of two lines: the end of a line with what follows it, either as long as the longest
-template may be, so that a notice wrapped over several lines is whole in one seam. A seam counts only if no line there is a notice of the
+template may be, so that a notice wrapped over several lines is whole in one seam. Comment marks and indents at the edges of a line are dropped first, and
+a seam reaches over as many lines as the longest template has words, so any wrapping is found. A seam counts only if no line there is a notice of the
 family by itself, and seams in a row are one notice. A sparse multinomial logistic regression over word uni- and bigrams, with an L1 penalty, tells license
 families apart and knows one more class, ``unknown``. It is trained on variants of the templates below and on a bounded sample
 of the corpus's own lines (``NEGATIVES`` of them, those with the smallest hash) that resemble no template. Its confidence is
@@ -9,7 +10,8 @@ calibrated: a temperature is chosen on lines held out of training. A prediction
 ``CONFIDENCE`` and a template of the predicted family is found in the line to a share of ``CONTAINMENT`` of its bigrams.
 
 Every line of every document is looked at. A line without any n-gram that speaks for some family rather than for ``unknown`` can't be
-predicted as a family, as ``unknown`` has the largest intercept; such lines are passed over before anything is computed.
+predicted as a family, as ``unknown`` has the largest intercept. So a text that holds no word of such an n-gram anywhere is passed over before it is
+cut into lines, and of the other texts, which are stored once, a line or seam without one before it is cut into words.
 
 Training and scan are DataFrame operations and built-in functions.
 """
@@ -88,8 +90,11 @@ TEMPLATES = {
 }
 UNKNOWN = "unknown"
 NEGATIVES = 8000
-#: Characters on each side of a seam: more than the longest template, with comment marks and indents. Lines that a notice is wrapped to.
-SEAM, LINES = 240, 8
+#: Characters on each side of a seam: more than the longest template. Lines that a notice can be wrapped to: the words of the longest template.
+SEAM = 240
+LINES = max(len(text.split()) for texts in TEMPLATES.values() for text in texts)
+#: What a line may begin or end with that belongs to no notice.
+EDGE = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 #: An n-gram that more than this share of the sampled lines has is no feature.
 COMMON = 0.01
 CONFIDENCE, CONTAINMENT = 0.5, 0.6
@@ -157,16 +162,23 @@ def lines_of(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def seams_of(rows: DataFrame) -> DataFrame:
-    """The end of each line with the start of what follows; none for the last line."""
-    lines = rows.select("doc_id", F.split("text", "\n").alias("lines"))
+def speaks(text: Column, gate: list[str]) -> Column:
+    """Whether one of the words stands in a text, also as part of another: a cheap look before the text is cut into words."""
+    return bind(F.lower(text), lambda t: F.exists(strings(gate), lambda g: F.contains(t, g)))
+
+
+def seams_of(rows: DataFrame, gate: list[str]) -> DataFrame:
+    """The end of each line with the start of what follows; none for the last line, and none where no word of ``gate`` is near."""
+    lines = rows.select("doc_id", F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, EDGE, "")).alias("lines"))
+    lines = lines.withColumn("hits", F.transform("lines", lambda x: speaks(x, gate)))
 
     def seam(line: Column, i: Column) -> Column:
         after = F.array_join(F.transform(F.slice("lines", i + 2, LINES - 1), lambda x: F.left(x, F.lit(SEAM))), " ")
-        return F.concat_ws(" ", F.right(line, F.lit(SEAM)), F.left(after, F.lit(SEAM)))
+        joined = F.concat_ws(" ", F.right(line, F.lit(SEAM)), F.left(after, F.lit(SEAM)))
+        return F.when(F.exists(F.slice("hits", i + 1, LINES), lambda hit: hit), joined)
 
     seams = F.transform(F.slice("lines", 1, F.greatest(F.size("lines") - 1, F.lit(0))), seam)
-    return lines.select("doc_id", F.posexplode(seams).alias("line_no", "line"))
+    return lines.select("doc_id", F.posexplode(seams).alias("line_no", "line")).filter("line is not null")
 
 
 def train(rows: DataFrame) -> Model:
@@ -221,8 +233,10 @@ def train(rows: DataFrame) -> Model:
 
 def find_notices(rows: DataFrame, model: Model) -> DataFrame:
     """(doc_id, line_no, family, confidence, containment) of the notices: lines, and the first of the lines that one is wrapped to."""
-    single = stage(rate(lines_of(rows), model), "license-lines")
-    seams = stage(rate(seams_of(rows), model), "license-seams")
+    gate = model.gate()
+    spoken = stage(rows.filter(speaks(F.col("text"), gate)), "license-texts")
+    single = stage(rate(lines_of(spoken).filter(speaks(F.col("line"), gate)), model), "license-lines")
+    seams = stage(rate(seams_of(spoken, gate), model), "license-seams")
 
     def without(found: DataFrame, taken: DataFrame) -> DataFrame:
         taken = taken.select(F.col("doc_id").alias("of"), F.col("line_no").alias("at"), F.col("family").alias("as")).distinct()

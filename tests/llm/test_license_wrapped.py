@@ -29,3 +29,24 @@ def test_copied_lines_are_sampled_once(spark, monkeypatch):
     lines = [f"ordinary line about matter {chr(97 + i)}" for i in range(26)]
     license_scan.train(spark.createDataFrame([(i, x) for i, x in enumerate(lines + lines[:13] * 30)], "doc_id long, text string"))
     assert staged["license-negatives"].count() == 26
+
+
+def test_any_wrapping_is_found(spark, cases):
+    """One word a line, with comment marks, up to the whole notice on one line, between ordinary lines."""
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+    words, docs = notice.split(), []
+    for per in (1, 2, 3, 5, 8, 13, 40):
+        for k, mark in enumerate(("", " *    ", "// ", "#")):
+            lines = [mark + " ".join(words[i : i + per]) for i in range(0, len(words), per)]
+            docs.append((300 + 10 * per + k, "\n".join(["ordinary words in a first line", *lines, "and other words at the end"])))
+    frame = cases.select("doc_id", "text").union(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = {r.doc_id: r for r in license_scan.scan(frame).collect()}
+    assert {i: (got[i].license, got[i].n_notices) for i, _ in docs} == {i: ("mit", 1) for i, _ in docs}
+
+
+def test_texts_without_a_gate_word_are_passed_over(spark):
+    model = license_scan.train(spark.createDataFrame([(1, "ordinary words in a line")], "doc_id long, text string"))
+    gate = model.gate()
+    notices = [text for texts in license_scan.TEMPLATES.values() for text in texts]
+    frame = spark.createDataFrame([(n,) for n in notices], "text string")
+    assert frame.filter(license_scan.speaks(frame["text"], gate)).count() == len(notices)

@@ -11,6 +11,10 @@ from larder.llm import mixing, near_dedup, packing, pii, quality_rules
 from larder.llm.common import stage
 
 
+#: Bytes of words that a packing task remembers: less than on its own, as the workers hold what former stages needed.
+WORDS_IN_MEMORY = 40_000_000
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality_rules.keep_good(docs)
@@ -32,8 +36,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences. Each repetition of a document is packed on its own."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The pieces of the documents with their ids and places in sequences. Each repetition of a document is packed on its own."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True, remembered=WORDS_IN_MEMORY)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -37,6 +37,14 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; allocators would hold it for the process."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """``run`` with the memory it has freed given back at the end of its task. Workers are kept for later tasks, of other operators too, and what
     allocators hold back of one task adds to what the next one needs."""
@@ -45,10 +53,7 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return tidied
 

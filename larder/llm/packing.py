@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import stage, tidy, with_rows
+from larder.llm.common import give_back, stage, tidy, with_rows
 
 CAPACITY = 2048
 END_ID = 1
@@ -72,6 +72,7 @@ class Model:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        give_back()  # reading the file took several times what the tokenizer holds
 
     def __call__(self, part: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""

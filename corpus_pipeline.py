@@ -12,7 +12,14 @@ from larder.llm.common import stage
 
 
 #: Bytes of words that a packing task remembers: less than on its own, as the workers hold what former stages needed.
-WORDS_IN_MEMORY = 40_000_000
+WORDS_IN_MEMORY = 24_000_000
+#: Texts that go to a Python worker at once. Batches lie outside the heap, and what they took is kept for the next stage.
+TEXTS_PER_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For the rest of the session: it is when a stage's result is written that most of its batches are made."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,11 +29,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that share four fifths of their five-word shingles, directly or by others, the one of smallest id stays."""
+    small_batches(spark)
     return near_dedup.keep_first(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Identifiers, and terms that disclose them, are replaced in the texts. Every document stays."""
+    small_batches(spark)
     return pii.sanitize(docs)
 
 
@@ -37,6 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents with their ids and places in sequences. Each repetition of a document is packed on its own."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True, remembered=WORDS_IN_MEMORY)
 
 

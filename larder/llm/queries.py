@@ -42,7 +42,7 @@ def op7_vp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(documents(spark, sf_dir))
+    return lm_scoring.score(documents(spark, sf_dir), across=True)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ components, its documents are taken up again with exact keys. Two sets of simila
 in one order of all shingles, rarest first, their first common shingle is among the first ``size - common + 1`` of both. A document emits
 that many shingles for each class of partner sizes; the finer the classes, the fewer. Documents that share a key with few others are paired. Where many
 share one, as edits of one text do that are just too far apart, their sets go to tasks in blocks, every two blocks to one, and only links come
-back: no pair is made. Components are found again at the end.
+back: no pair is made. Such documents share hundreds of keys, so what long lists of documents connect is a family, whose sets meet once instead of once
+a key, unless its lists are so loosely chained that all of them together take fewer rows. Components are found again at the end.
 
 Candidates are links only after an exact check on the full sets.
 
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import stage, tidy, with_rows
@@ -255,6 +256,22 @@ def links_in_block(threshold: int):
     return run
 
 
+def units_of(lists: DataFrame, sets: DataFrame, blocks: Column) -> DataFrame:
+    """(of, unit, id, component, blocks): the documents of ``lists`` (key, id, component, n, cells, least) whose ``sets`` are to meet, by family if that takes
+    no more rows than its keys do, else by key. ``blocks`` is the number of blocks that n documents with cells shingles are cut to."""
+    chained = components(lists.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct())
+    family = stage(chained.withColumnRenamed("component", "unit"), "families")
+    of_keys = lists.select("key", "n", "cells", "least").distinct().join(family.withColumnRenamed("id", "least"), "least")
+    of_keys = of_keys.groupBy("unit").agg(F.sum(F.col("n") * blocks).alias("by_key"))
+    whole = sets.select("id", "component", (F.length("set") / 8).alias("size")).join(family, "id")
+    cut = whole.groupBy("unit").agg(F.count("*").alias("n"), F.sum("size").alias("cells")).withColumn("blocks", blocks).join(of_keys, "unit")
+    cut = stage(cut.select("unit", "blocks", (F.col("n") * F.col("blocks") <= F.col("by_key")).alias("at_once")), "family-blocks")
+    together = whole.join(cut.filter("at_once"), "unit").select(F.lit("family").alias("of"), "unit", "id", "component", "blocks")
+    loose = family.join(cut.filter("not at_once"), "unit").select(F.col("id").alias("least"))
+    apart = lists.join(loose, "least", "left_semi").select(F.lit("key").alias("of"), F.col("key").alias("unit"), "id", "component", blocks.alias("blocks"))
+    return together.unionByName(apart)
+
+
 def link(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (it is its own).
 
@@ -327,8 +344,8 @@ def link(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
     for row in met.select("set").mapInArrow(tidy(count_shingles), "counter bigint, n bigint").groupBy("counter").agg(F.sum("n").alias("n")).collect():
         counts[row["counter"]] = row["n"]  # at most ``COUNTERS`` rows
     keys = stage(met.mapInArrow(tidy(exact_keys(threshold, counts)), "key bigint, id bigint, component bigint, size bigint"), "exact-keys")
-    agg = [F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum("size").alias("cells")]
-    mixed = keys.groupBy("key").agg(*agg).filter("low < high").select("key", "n", "cells")
+    agg = [F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum("size").alias("cells"), F.min("id").alias("least")]
+    mixed = keys.groupBy("key").agg(*agg).filter("low < high").select("key", "n", "cells", "least")
     keys = stage(keys.join(mixed, "key"), "mixed-keys")
 
     few = keys.filter(F.col("n") <= TOGETHER)
@@ -337,11 +354,12 @@ def link(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) ->
     more = check(exact.select("a", "b"))
 
     # longer lists: blocks of documents, every two of which meet in a task of their own with their sets, and only links come out
-    blocks_ = F.greatest(F.ceil(F.col("cells") / BLOCK_CELLS), F.ceil(F.col("n") / BLOCK_SETS)).cast("int")
-    many = keys.filter(F.col("n") > TOGETHER).withColumn("blocks", blocks_).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    blocks = F.greatest(F.ceil(F.col("cells") / BLOCK_CELLS), F.ceil(F.col("n") / BLOCK_SETS)).cast("int")
+    units = stage(units_of(keys.filter(F.col("n") > TOGETHER), met, blocks), "units")
+    many = units.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    many = many.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component")
-    met = met.select("id", "set").join(many, "id").groupBy("key", "i", "j")
+    many = many.select("of", "unit", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component")
+    met = met.select("id", "set").join(many, "id").groupBy("of", "unit", "i", "j")
     inside = met.applyInArrow(links_in_block(threshold), "a bigint, b bigint")
     more = stage(more.unionByName(inside).distinct(), "exact-links")
     if more.limit(1).count():

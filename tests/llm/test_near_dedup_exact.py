@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from larder.llm import near_dedup
 
@@ -130,3 +131,15 @@ def test_short_edits_of_one_text_meet_in_blocks(spark, monkeypatch):
     want = plain_components(texts)
     got = {r.doc_id: r.component_id for r in near_dedup.link(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()}
     assert len(sets) == 440 and got == want and len(set(want.values())) > 20
+
+
+def test_lists_of_the_same_documents_meet_once(spark):
+    """Sixty lists of forty documents are one family; lists that a document chains are dealt by key, where that takes fewer rows."""
+    rows = [(key, i, i, 40, 400, 0) for key in range(60) for i in range(40)]
+    rows += [(100 + k, 1000 + 39 * k + i, 1, 40, 400, 1000 + 39 * k) for k in range(50) for i in range(40)]
+    lists = spark.createDataFrame(rows, "key long, id long, component long, n long, cells long, least long")
+    sets = lists.select("id", "component").distinct().selectExpr("id", "component", "cast(repeat('x', 80) as binary) as set")
+    blocks = F.ceil(F.col("n") / 40).cast("int")
+    got = near_dedup.units_of(lists, sets, blocks).groupBy("of", "unit").agg(F.count("*").alias("n"), F.max("blocks").alias("blocks")).collect()
+    want = {("family", 0): (40, 1)} | {("key", 100 + k): (40, 1) for k in range(50)}
+    assert {(r.of, r.unit): (r.n, r.blocks) for r in got} == want

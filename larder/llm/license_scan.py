@@ -11,7 +11,9 @@ calibrated: a temperature is chosen on lines held out of training. A prediction
 
 Every line of every document is looked at. A line without any n-gram that speaks for some family rather than for ``unknown`` can't be
 predicted as a family, as ``unknown`` has the largest intercept. So a text that holds no word of such an n-gram anywhere is passed over before it is
-cut into lines, and of the other texts, which are stored once, a line or seam without one before it is cut into words.
+cut into lines, and of the other texts, which are stored once, a line or seam without one before it is cut into words. Nor can a prediction be
+confirmed unless the line has one of the rarest bigrams of a template, all but as many as ``CONTAINMENT`` may leave out; texts, lines and seams that
+hold no word of those are passed over too, and only lines that hold such a bigram are rated.
 
 Training and scan are DataFrame operations and built-in functions.
 """
@@ -140,6 +142,20 @@ class Model:
         speaking = [g.split(" ") for g, w in self.weights.items() if max(w[:-1]) > w[-1]]
         return sorted({min(ws, key=lambda w: (self.in_text.get(w, 0), w)) for ws in speaking})
 
+    def marks(self) -> list[str]:
+        """Of each template its rarest bigrams, so many that no line has the share ``CONTAINMENT`` of the template without one of them."""
+        found = set()
+        for grams in (set(t) for ts in self.templates.values() for t in ts):
+            needed = next((n for n in range(1, len(grams) + 1) if n / len(grams) >= CONTAINMENT), 0)
+            found.update(sorted(grams, key=lambda g: (self.rarity(self.rarest(g)), g))[: len(grams) - needed + 1])
+        return sorted(found)
+
+    def rarity(self, word: str) -> tuple[int, int, str]:
+        return self.in_text.get(word, 0), -len(word), word
+
+    def rarest(self, gram: str) -> str:
+        return min(gram.split(" "), key=self.rarity)
+
     def logits(self, grams: Column) -> Column:
         table = F.create_map(*[x for g, w in self.weights.items() for x in (F.lit(g), F.array(*[F.lit(v) for v in w]))])
         start = F.array(*[F.lit(x) for x in self.intercepts])
@@ -233,7 +249,7 @@ def train(rows: DataFrame) -> Model:
 
 def find_notices(rows: DataFrame, model: Model) -> DataFrame:
     """(doc_id, line_no, family, confidence, containment) of the notices: lines, and the first of the lines that one is wrapped to."""
-    gate = model.gate()
+    gate = sorted({model.rarest(g) for g in model.marks()})
     spoken = stage(rows.filter(speaks(F.col("text"), gate)), "license-texts")
     single = stage(rate(lines_of(spoken).filter(speaks(F.col("line"), gate)), model), "license-lines")
     seams = stage(rate(seams_of(spoken, gate), model), "license-seams")
@@ -252,7 +268,8 @@ def rate(lines: DataFrame, model: Model) -> DataFrame:
     """Those of (doc_id, line_no, line) that are notices."""
     gate = strings(model.gate())
     lines = lines.withColumn("ws", tokens(F.col("line"))).filter(F.arrays_overlap("ws", gate))
-    rated = lines.select("doc_id", "line_no", ngrams(F.col("ws")).alias("grams"), bigrams(F.col("ws")).alias("pairs"))
+    lines = lines.withColumn("pairs", bigrams(F.col("ws"))).filter(F.arrays_overlap("pairs", strings(model.marks())))
+    rated = lines.select("doc_id", "line_no", ngrams(F.col("ws")).alias("grams"), "pairs")
     rated = rated.withColumn("p", model.probabilities(model.logits(F.col("grams"))))
     best = F.array_max("p")
     names = F.array(*[F.lit(f) for f in model.families])

@@ -50,3 +50,23 @@ def test_texts_without_a_gate_word_are_passed_over(spark):
     notices = [text for texts in license_scan.TEMPLATES.values() for text in texts]
     frame = spark.createDataFrame([(n,) for n in notices], "text string")
     assert frame.filter(license_scan.speaks(frame["text"], gate)).count() == len(notices)
+
+
+def test_texts_without_a_mark_of_a_template_are_passed_over(spark, monkeypatch):
+    """No line without a mark can be confirmed, and words of the templates alone bring no text to the scan."""
+    staged = {}
+
+    def stage(df, label, _stage=license_scan.stage):
+        staged[label] = _stage(df, label)
+        return staged[label]
+
+    monkeypatch.setattr(license_scan, "stage", stage)
+    docs = [(1, "You may use this file or copy it, and it can work for all of you."), (2, "Any program has a code that is not free."), (3, "one line\nAll rights reserved")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = license_scan.train(docs)
+    marks = set(model.marks())
+    for grams in (set(t) for ts in model.templates.values() for t in ts):
+        assert len(grams - marks) / len(grams) < license_scan.CONTAINMENT
+    got = {r.doc_id: r.license for r in license_scan.scan(docs, model).collect()}
+    assert got == {1: "unknown", 2: "unknown", 3: "proprietary"}
+    assert [r.doc_id for r in staged["license-texts"].select("doc_id").collect()] == [3]

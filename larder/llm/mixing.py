@@ -76,7 +76,8 @@ def mix(
     source_size, target (of its source), taken, repeats (whole repetitions), part (words of the fractional one); with
     ``keep_rows`` the whole input row in ``row`` as well. Null sources are a source of their own; a null or empty text has size
     0 and is never taken; a source without words has target 0. Repeated rows are taken alike. An empty table gives an empty
-    result. The outcome depends on the rows and the seed alone, so reruns agree.
+    result. The outcome depends on the rows and the seed alone, so reruns agree. With ``keep_rows`` no copy of the texts is stored:
+    ``docs``, a stored table or a cheap plan over one, is read twice and its words are counted twice.
     """
     rows = with_rows(docs)
     place = bucket_of(F.col("row")["doc_id"], seed)
@@ -87,7 +88,8 @@ def mix(
         size_of(F.col("row")["text"]).alias("size"),
         place.alias("bucket"),
     )
-    sized = stage(sized, "mix-sizes")
+    if not keep_rows:
+        sized = stage(sized, "mix-sizes")
     buckets = stage(sized.groupBy("source", "bucket").agg(F.sum("size").alias("size")), "mix-buckets")
     targets = source_targets(buckets.groupBy("source").agg(F.sum("size").alias("size")), weights, max_epochs, share)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")

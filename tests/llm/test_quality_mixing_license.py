@@ -10,7 +10,7 @@ import llm_cases
 import pytest
 from pyspark.sql import functions as F
 
-from larder.llm import license_scan, mixing, quality_rules
+from larder.llm import common, license_scan, mixing, quality_rules
 
 
 def counts(text):
@@ -104,6 +104,19 @@ def test_mixing_takes_near_target_and_applies(cases, corpus):
     assert sorted(again) == sorted(mixing.mix(corpus.repartition(5)).collect())
 
 
+def test_mixing_stores_no_copy_of_the_texts(spark, tmp_path, monkeypatch):
+    docs = [(i, "ab"[i % 2], " ".join(str(i * 7919 + k) for k in range(i % 50))) for i in range(400)]
+    spark.createDataFrame([*docs, (None, None, None)], "doc_id long, source string, text string").write.parquet(str(tmp_path / "docs"))
+    table, stored = spark.read.parquet(str(tmp_path / "docs")), []
+    sizes = {r.doc_id: r for r in mixing.mix(table).collect()}
+    monkeypatch.setattr(mixing, "stage", lambda df, label: stored.append(df.schema.simpleString()) or common.stage(df, label))
+    words = Counter()
+    for r in mixing.apply_mix(table).collect():
+        words[r.doc_id] += len(r.text.split())
+    assert words == Counter({i: r.taken for i, r in sizes.items() if r.taken})
+    assert stored and not any("text" in columns for columns in stored)
+
+
 def test_licenses_found_and_others_left(spark, cases):
     notices = [
         (101, "Text before.\nLicensed under the Apache License, Version 2.0.\nand after", "apache"), (102, "Released under the MIT License.", "mit"),

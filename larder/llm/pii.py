@@ -157,13 +157,19 @@ def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequencies(bitmap: bytes):
-    """(term, n): in how many documents of a batch each term stands whose bit is set."""
+    """(term, n): in how many documents of a task each term stands whose bit is set. Counts are passed on early beyond ``REMEMBERED`` terms."""
     wanted = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms: dict[str, tuple[str, ...]] = {}
+        counts: Counter[str] = Counter()
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
+            counts.clear()
+            return out
+
         for batch in batches:
-            counts: Counter[str] = Counter()
             for text in batch.column("text"):
                 own: set[str] = set()
                 for word in set(WORD.findall(text.as_py() or "")):
@@ -174,7 +180,10 @@ def frequencies(bitmap: bytes):
                 counts.update(own)
                 if len(terms) > REMEMBERED:
                     terms.clear()
-            yield pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
+            if len(counts) > REMEMBERED:
+                yield flush()
+        if counts:
+            yield flush()
 
     return run
 

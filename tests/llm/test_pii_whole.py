@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+
 from larder.llm import pii
 
 SPACE = " the and of it was on a day when they all went out to see how things are by now so far"
@@ -26,3 +29,11 @@ def test_rows_without_or_with_one_id(spark):
     docs = [(i, t) for i in (None, 7) for t in texts]
     got = sorted(r.text for r in pii.sanitize(spark.createDataFrame(docs, "doc_id long, text string")).collect())
     assert got == sorted(2 * ["write to [EMAIL] soon", texts[1], "from [IP] and on, longer than the others are", "[PHONE] is mine"])
+
+
+def test_a_task_counts_a_term_once_whatever_its_batches():
+    texts = ["zephyr quartz", "Zephyr", None, "quartz zephyr zephyr", "quartz"] * 3
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[i : i + 2], pa.string())}) for i in range(0, len(texts), 2)]
+    everything = np.packbits(np.ones(2 * pii.BITS + 32768, np.uint8), bitorder="little").tobytes()
+    out = [r for b in pii.frequencies(everything)(iter(batches)) for r in b.to_pylist()]
+    assert sorted((r["term"], r["n"]) for r in out) == [("quartz", 9), ("zephyr", 9)]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from larder.operators import consumption
 from larder.operators.joins import MOST_BROADCAST, na_entries, na_join, spread
+from workloads import verbs
 
 
 def test_looks_give_the_rows_of_successive_joins(spark):
@@ -40,3 +43,23 @@ def test_large_lookups_are_not_broadcast(spark):
         }
         assert [tuple(r) for r in rows.collect()] == [("h", 7, 10.0, "misc", 1000.0)]
     assert spread(few) is few
+
+
+def test_many_households_are_not_broadcast_to_the_sink(spark, monkeypatch):
+    cons = spark.range(20).select(
+        F.col("id").cast("string").alias("hhid"), F.lit(7).cast("long").alias("item_code"), F.lit(0.1).alias("quantity_100g"),
+        F.lit("misc").alias("food_group"), F.lit(10.0).alias("quantity_g"),
+    )
+    append, plans = verbs.tables.append_partitioned, []
+
+    def noted(df, path, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        append(df, path, **options)
+
+    monkeypatch.setattr(verbs.tables, "append_partitioned", noted)
+    for n, join in ((50, "BroadcastHashJoin"), (MOST_BROADCAST + 1, "ShuffledHashJoin")):
+        homes = spark.range(n).select(F.col("id").cast("string").alias("hhid"), F.lit("Rural").alias("res"))
+        rows = verbs.sink_append_partitioned(SimpleNamespace(spark=spark, cons=cons, residences=homes)).collect()
+        assert [tuple(r) for r in rows] == [("XXA", "Rural", 20, 200.0)]
+        assert len(plans) == 3 and all(f"{join} [" in plan for plan in plans)
+        plans.clear()
